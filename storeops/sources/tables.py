@@ -32,8 +32,16 @@ def append_log(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header and ISO dates."""
-    df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
+    """CSV with a header, ISO dates, and text exactly as it is, outer spaces included."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("dateFormat", "yyyy-MM-dd")
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
