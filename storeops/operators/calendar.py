@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storeops.functions.columns import flag, monday_of, weekday_name, weekday_number
 from storeops.fixed_values import HOLIDAYS
+from storeops.sources.tables import literal_rows
 
 
 def day_range(spark: SparkSession, start: str, end: str) -> DataFrame:
@@ -17,7 +18,7 @@ def day_range(spark: SparkSession, start: str, end: str) -> DataFrame:
 
 
 def holiday_table(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
-    df = spark.createDataFrame(rows if rows is not None else HOLIDAYS, "day string, holiday_name string")
+    df = literal_rows(spark, rows if rows is not None else HOLIDAYS, "day", "holiday_name")
     return df.select(F.col("day").cast("date").alias("holiday_date"), "holiday_name")
 
 

@@ -68,19 +68,20 @@ def usage_base(
     sales: DataFrame,
     recipe: DataFrame,
     ingredient: DataFrame,
-    purchases: DataFrame,
+    bought: DataFrame,
     counts: DataFrame,
     waste: DataFrame,
     new_cost_year: int = 2026,
 ) -> DataFrame:
     """Unrounded quantities and unit costs per week, store and ingredient that had sales.
 
+    `bought` are the `weekly_purchases`, read twice: for the store's own price and the chain's.
+
     The joins on the full grain come first and share one partitioning, which the aggregates already
     have; the chain price and the ingredient, keyed by less, follow.
     """
     opening = count_as(counts, "opening_qty", F.date_add("count_date", 1))
     closing = count_as(counts, "closing_qty", F.date_sub("count_date", 6))
-    bought = weekly_purchases(purchases)
     standard = F.when(F.year("week_start") >= new_cost_year, F.col("std_cost_2026")).otherwise(F.col("std_cost_2025"))
     purchased = zero_if_null(F.col("purchased_qty"))
     return (

@@ -13,6 +13,7 @@ from storeops.fixed_values import QUALITY_RULES
 from storeops.functions.columns import ISO_DAY, TEXT_MONTH_DAY, flag, match_key, try_day, try_decimal
 from storeops.operators.facts import is_inverted_shift, net_rebuilt_difference
 from storeops.operators.foodcost import bridge_gap
+from storeops.sources.tables import literal_rows
 
 STORE_EXTRACTS = ("pos_sales", "pos_covers_hourly", "timeclock", "purchasing", "inventory_counts", "waste_log")
 STORE_FACTS = (
@@ -133,8 +134,8 @@ def quality_counts(raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame],
 
 def quality_run(counts: DataFrame, run_at: datetime | None = None) -> DataFrame:
     """The 24 log rows of one run, with status FIXED, PASS or FAIL."""
-    rules = counts.sparkSession.createDataFrame(
-        QUALITY_RULES, "check_id int, check_area string, check_name string, rule_type string"
+    rules = literal_rows(
+        counts.sparkSession, QUALITY_RULES, "check_id", "check_area", "check_name", "rule_type"
     )
     issues = F.coalesce("issue_count", F.lit(0)).cast("bigint")
     return rules.join(counts, "check_id", "left").select(

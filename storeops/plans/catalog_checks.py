@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storeops.functions.columns import monday_of, ratio, weekday_number
 from storeops.operators import checks, measures
 from storeops.plans import oracle as o
-from storeops.plans.catalog import register, staged, staged_all
+from storeops.plans.catalog import landed, register, staged, staged_all
 from storeops.plans.extracts import Extracts
 from storeops.plans.oracle import cte, div, hu
 from storeops.plans.validation import Expectations, validation_suite
@@ -341,7 +341,7 @@ def _(x: Extracts) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_ingredient_usage_weekly", "fact_sales_item_daypart"))
+    w = x.warehouse(staged("fact_ingredient_usage_weekly", "fact_sales_item_daypart", "weekly_purchases"))
     usage = w.fact_ingredient_usage_weekly
     return union(
         checks.stock_identity("stock identity", usage, w.fact_inventory_counts, w.fact_purchases),
@@ -615,8 +615,9 @@ def _(x: Extracts) -> DataFrame:
 @register("validation_suite")
 def _(x: Extracts) -> DataFrame:
     """All 74 checks over written tables. The families above have a twin each; this one has none."""
-    w = x.warehouse(staged_all)
-    raw = {**x.raw(), "pos_sales": staged_all("pos_sales", x.pos_sales)}
+    raw = landed(x, "pos_sales", "purchasing", "timeclock")
+    w = raw.warehouse(staged_all)
+    tables = w.build_all()
     prices = staged_all("prices", weekly_prices(w))
     targets = measures.monthly_targets(w.fact_sales_item_daypart)
-    return validation_suite(raw, w.tables(), prices, weather(x), targets, BENCH_EXPECTATIONS)
+    return validation_suite(raw, tables, prices, weather(x), targets, BENCH_EXPECTATIONS)

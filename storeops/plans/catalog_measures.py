@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storeops.functions.columns import monday_of
 from storeops.operators import measures
 from storeops.plans import oracle as o
-from storeops.plans.catalog import lazy, register, staged
+from storeops.plans.catalog import lazy, register, staged, usage
 from storeops.plans.extracts import Extracts, money
 from storeops.plans.oracle import cte, div, hu, out
 
@@ -224,10 +224,6 @@ OVER_USE = hu(
 )
 
 
-def usage(x: Extracts) -> DataFrame:
-    return lazy(x).fact_ingredient_usage_weekly
-
-
 @register("bridge_sums", f"SELECT location_id, {BRIDGE_SUMS} FROM fact_usage GROUP BY 1")
 def _(x: Extracts) -> DataFrame:
     return measures.bridge_sums(usage(x), ["location_id"])
@@ -250,7 +246,7 @@ FROM (SELECT *, {div('a', 'n')} AS p FROM
   FULL JOIN (SELECT location_id, sum(net_sales) AS n FROM fact_sales WHERE location_id IS NOT NULL GROUP BY 1) s USING (location_id)) f""",
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_sales_item_daypart"))
+    w = x.warehouse(staged("fact_sales_item_daypart", "weekly_purchases"))
     return measures.food_cost_pct(w.fact_ingredient_usage_weekly, w.fact_sales_item_daypart, ["location_id"])
 
 

@@ -6,6 +6,7 @@ rows are messy on every run and at every scale. All columns are text, as on land
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from storeops.functions.columns import half_up
 from storeops.operators.calendar import holiday_table
 from storeops.plans.warehouse import Rules, Warehouse, keep_lazy
+from storeops.sources.tables import literal_rows, spread
 
 # The benchmark orders run from 1995 to 2001 and the events through January 2024.
 BENCH_RULES = Rules(
@@ -30,6 +32,10 @@ BENCH_HOLIDAYS = [
 ]
 
 
+# The event types, as roles.
+ROLES = ["View", "Click", "Error", "Signup", "Purchase"]
+
+
 def text(col: Column) -> Column:
     return col.cast("string")
 
@@ -71,13 +77,50 @@ def repeat_row(condition: Column) -> Column:
     return F.explode(F.sequence(F.lit(1), F.when(condition, 2).otherwise(1)))
 
 
-class Extracts:
+# Declared, so that opening a table starts no job to look the columns up.
+BENCH_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
+class Extracts(Mapping):
+    """Extract name -> frame; each is built when first asked for."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        return getattr(self, name)
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            reader = self.spark.read.schema(BENCH_SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def store_alias(self) -> DataFrame:
@@ -93,9 +136,8 @@ class Extracts:
     @cached_property
     def role_alias(self) -> DataFrame:
         """Each event type is a role, written plainly or with a prefix."""
-        kinds = self.table("events").select("event_type").distinct()
-        spellings = F.array(F.upper("event_type"), F.concat(F.lit("T-"), F.upper("event_type")))
-        return kinds.select(F.explode(spellings).alias("alias_key"), F.initcap("event_type").alias("role"))
+        rows = [(prefix + role.upper(), role) for role in ROLES for prefix in ("", "T-")]
+        return literal_rows(self.spark, rows, "alias_key", "role")
 
     @cached_property
     def suppliers(self) -> DataFrame:
@@ -103,7 +145,11 @@ class Extracts:
 
     @cached_property
     def _sold(self) -> DataFrame:
-        """Order lines with day and store."""
+        """Order lines with day and store.
+
+        Lines and orders both grow with the data, so neither is ever broadcast: the merge hint has
+        them shuffled by order, with adaptive splitting of skewed orders.
+        """
         orders = (
             self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -112,21 +158,21 @@ class Extracts:
         )
         return (
             self.table("lineitem")
-            .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .withColumn("k", F.col("l_orderkey") * 7 + F.col("l_linenumber"))
         )
 
     @cached_property
     def _delivered(self) -> DataFrame:
-        """Order lines with supplier, store and ingredient."""
-        suppliers = (
-            self.table("supplier")
-            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select("s_suppkey", "s_name", "n_nationkey", "n_name")
-        )
+        """Order lines with supplier, store and ingredient.
+
+        The lookups are joined one by one: each is then weighed by the size of its own files, while
+        a join of lookups would be estimated as larger than the lines.
+        """
         return (
-            self.table("lineitem")
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
+            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
             .withColumns(
                 {
@@ -203,7 +249,7 @@ class Extracts:
         end = start + F.expr("interval 8 hours")
         overrun = F.make_dt_interval(mins=(k % 41 - 20).cast("int"))
         nation = self.table("nation").select("n_nationkey", "n_name")
-        shifts = self.table("events").join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
+        shifts = spread(self.table("events"), "event_id").join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
         role = F.col("event_type")
         return shifts.select(
             text(k).alias("shift_id"),
@@ -256,18 +302,22 @@ class Extracts:
 
     @cached_property
     def inventory_counts(self) -> DataFrame:
-        """Sunday counts before and after every week in which a store sold an ingredient."""
-        part = self.table("part").select("p_partkey", "p_brand")
-        week = F.trunc("day", "week")
-        cells = (
-            self._sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .select(week.alias("week"), "n_nationkey", "n_name", "p_brand")
+        """Sunday counts of all 25 ingredients, before and after every week in which a store sold."""
+        week = F.trunc(F.col("o_orderdate").cast("date"), "week")
+        sundays = (
+            self.table("orders")
+            .join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            .select(week.alias("week"), "c_nationkey")
             .distinct()
-            .withColumn("ingredient", F.explode(F.array(F.col("p_brand"), next_brand(F.col("p_brand")))))
             .withColumn("count_date", F.explode(F.array(F.date_sub("week", 1), F.date_add("week", 6))))
-            .select("count_date", "n_nationkey", "n_name", "ingredient")
+            .select("count_date", "c_nationkey")
             .distinct()
         )
+        brands = F.transform(F.sequence(F.lit(1), F.lit(25)), lambda n: F.concat(F.lit("Brand#"), n.cast("string")))
+        cells = (
+            sundays.join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+            .withColumn("ingredient", F.explode(brands))
+        )
         day, store, brand = F.unix_date("count_date"), F.col("n_nationkey"), brand_number(F.col("ingredient"))
         return cells.filter((day * 17 + store * 11 + brand * 3) % 1000 != 0).select(
             day_text(F.col("count_date")).alias("count_date"),
@@ -369,7 +419,7 @@ class Extracts:
             F.concat(F.lit("E"), text(user)).alias("employee_id"),
             F.concat(F.lit("User "), text(user)).alias("employee_name"),
             F.concat(F.lit("L"), text(user % 25)).alias("home_location_id"),
-            F.element_at(F.array(*[F.lit(r) for r in ("View", "Click", "Error", "Signup", "Purchase")]), (user % 5 + 1).cast("int")).alias("role"),
+            F.element_at(F.array(*[F.lit(r) for r in ROLES]), (user % 5 + 1).cast("int")).alias("role"),
             text(wage.cast("decimal(8,2)")).alias("hourly_wage"),
             day_text(F.date_add(F.lit("2023-12-01").cast("date"), (user % 60).cast("int"))).alias("hire_date"),
         )
@@ -407,17 +457,17 @@ class Extracts:
         "ref_employees",
     )
 
-    def raw(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name) for name in self.NAMES}
-
     def warehouse(self, keep=keep_lazy) -> Warehouse:
-        return Warehouse(
-            self.raw(),
-            self.store_alias,
-            self.role_alias,
-            BENCH_RULES,
-            keep,
-            suppliers=self.suppliers,
-            bounds=self.calendar_bounds,
-            holidays=holiday_table(self.spark, BENCH_HOLIDAYS),
-        )
+        return BenchWarehouse(self, self.store_alias, self.role_alias, BENCH_RULES, keep, suppliers=self.suppliers)
+
+
+class BenchWarehouse(Warehouse):
+    """The calendar spans the orders and has the same three holidays every year."""
+
+    raw: Extracts
+
+    def calendar_bounds(self) -> DataFrame:
+        return self.raw.calendar_bounds
+
+    def holidays(self) -> DataFrame:
+        return holiday_table(self.raw.spark, BENCH_HOLIDAYS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storeops import fixed_values
 from storeops.operators import calendar, dims, facts, foodcost, menu
-from storeops.sources.tables import write_table
+from storeops.sources.tables import literal_rows, write_table
 
 # Date column by which each large table is laid out.
 MONTH_COLUMNS = {
@@ -53,7 +54,7 @@ def keep_in(folder: str) -> Callable[[str, DataFrame], DataFrame]:
 
 
 def alias_table(spark: SparkSession, rows: list[tuple[str, str]], master_col: str) -> DataFrame:
-    return spark.createDataFrame(rows, f"alias_key string, {master_col} string")
+    return literal_rows(spark, rows, "alias_key", master_col)
 
 
 class Warehouse:
@@ -71,17 +72,24 @@ class Warehouse:
         rules: Rules = Rules(),
         keep: Callable[[str, DataFrame], DataFrame] = keep_lazy,
         suppliers: DataFrame | None = None,
-        bounds: DataFrame | None = None,
-        holidays: DataFrame | None = None,
     ):
         self.raw = raw
         self.store_alias = store_alias
         self.role_alias = role_alias
         self.rules = rules
         self.keep = keep
-        self.suppliers = suppliers if suppliers is not None else raw["ref_ingredients"].select("supplier")
-        self._bounds = bounds
-        self._holidays = holidays
+        self._suppliers = suppliers
+
+    @property
+    def suppliers(self) -> DataFrame:
+        """Master supplier names: those given, else the ones the ingredients name."""
+        return self._suppliers if self._suppliers is not None else self.raw["ref_ingredients"].select("supplier")
+
+    def calendar_bounds(self) -> DataFrame:
+        return calendar.day_range(self.store_alias.sparkSession, self.rules.calendar_start, self.rules.calendar_end)
+
+    def holidays(self) -> DataFrame:
+        return calendar.holiday_table(self.store_alias.sparkSession)
 
     @cached_property
     def dim_location(self) -> DataFrame:
@@ -106,13 +114,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        spark = self.store_alias.sparkSession
-        bounds, holidays = self._bounds, self._holidays
-        if bounds is None:
-            bounds = calendar.day_range(spark, self.rules.calendar_start, self.rules.calendar_end)
-        if holidays is None:
-            holidays = calendar.holiday_table(spark)
-        return self.keep("dim_date", calendar.build_calendar(bounds, holidays))
+        return self.keep("dim_date", calendar.build_calendar(self.calendar_bounds(), self.holidays()))
 
     @cached_property
     def fact_sales_item_daypart(self) -> DataFrame:
@@ -153,13 +155,17 @@ class Warehouse:
     def fact_waste_log(self) -> DataFrame:
         return self.keep("fact_waste_log", facts.waste_fact(self.raw["waste_log"], self.store_alias))
 
+    @cached_property
+    def weekly_purchases(self) -> DataFrame:
+        return self.keep("weekly_purchases", foodcost.weekly_purchases(self.fact_purchases))
+
     @cached_property
     def fact_ingredient_usage_weekly(self) -> DataFrame:
         base = foodcost.usage_base(
             self.fact_sales_item_daypart,
             self.bridge_recipe,
             self.dim_ingredient,
-            self.fact_purchases,
+            self.weekly_purchases,
             self.fact_inventory_counts,
             self.fact_waste_log,
             self.rules.new_cost_year,
@@ -168,8 +174,12 @@ class Warehouse:
 
     @cached_property
     def menu_engineering(self) -> DataFrame:
+        return self.keep("menu_engineering", menu.menu_quadrants(self.dim_menu_item, self.sold_by_item))
+
+    @cached_property
+    def sold_by_item(self) -> DataFrame:
         sold = menu.sold_by_item(self.fact_sales_item_daypart, self.rules.menu_from, self.rules.menu_to)
-        return self.keep("menu_engineering", menu.menu_quadrants(self.dim_menu_item, sold))
+        return self.keep("sold_by_item", sold)
 
     TABLES = (
         "dim_date",
@@ -189,6 +199,29 @@ class Warehouse:
         "menu_engineering",
     )
 
+    def prepare(self, *names: str) -> None:
+        """Build tables that do not depend on each other at the same time.
+
+        Worth it where `keep` writes them: the tail of one write then overlaps with the next.
+        """
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            list(pool.map(lambda name: getattr(self, name), names))
+
+    def build_all(self) -> dict[str, DataFrame]:
+        """Every table, in three waves: dimensions, facts from extracts, facts from facts."""
+        self.prepare("dim_date", "dim_location", "dim_ingredient", "dim_employee", "bridge_recipe")
+        self.prepare(
+            "dim_menu_item",
+            "fact_sales_item_daypart",
+            "fact_covers_hourly",
+            "fact_labour_shifts",
+            "fact_purchases",
+            "fact_inventory_counts",
+            "fact_waste_log",
+        )
+        self.prepare("fact_labour_hourly", "fact_ingredient_usage_weekly", "menu_engineering")
+        return self.tables()
+
     def tables(self) -> dict[str, DataFrame]:
         """Every table by name, in the order of the row-count summary."""
         return {name: getattr(self, name) for name in self.TABLES}

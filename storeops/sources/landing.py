@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeops.sources.tables import literal_rows
 from storeops.schemas import EXTRACTS, FILE_PATTERNS, text_schema
 
 
@@ -72,7 +73,7 @@ def manifest_check(tables: Mapping[str, DataFrame], expected: Sequence[tuple[str
     """Loaded against expected rows per table, OK or CHECK UPLOAD."""
     loaded = row_counts(tables).withColumnRenamed("row_count", "loaded_rows")
     if not isinstance(expected, DataFrame):
-        expected = loaded.sparkSession.createDataFrame(list(expected), "table_name string, expected_rows bigint")
+        expected = literal_rows(loaded.sparkSession, expected, "table_name", "expected_rows")
     return (
         loaded.join(expected, "table_name")
         .select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,21 @@ from pyspark.sql import functions as F
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], *names: str) -> DataFrame:
+    """A short fixed list as a frame whose size the optimizer knows.
+
+    A frame made from Python objects has no size estimate and would never be broadcast.
+    """
+
+    def literal(value) -> str:
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    values = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
+
+
 def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
     """Replace the table at `path` and return it as read back.
 
@@ -49,6 +65,16 @@ def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out the rows of a table, by keys, when it is stored in fewer pieces than there are cores.
+
+    A gzip file or a file with a single row group is read by one task, which would then do all the
+    work up to the next shuffle alone. Tables in enough pieces, as large ones are, stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The cluster's folder for cut lineage; a temporary one only on a local master without a setting."""
     folder = spark.conf.get(CHECKPOINT_DIR, "")
