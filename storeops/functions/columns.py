@@ -52,9 +52,10 @@ def half_up(col: Column, digits: int) -> Column:
     """Round half away from zero on a decimal.
 
     Going through decimal(28,8) gives the same digits whatever binary noise the double carries, so
-    a table rebuilt from the same rows always holds the same cents.
+    a table rebuilt from the same rows always holds the same cents. NaN and values of more than 20
+    integer digits become NULL.
     """
-    return F.round(col.cast("decimal(28,8)"), digits)
+    return F.round(col.try_cast("decimal(28,8)"), digits)
 
 
 def monday_of(col: Column) -> Column:

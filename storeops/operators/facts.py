@@ -59,7 +59,7 @@ def covers_fact(raw: DataFrame, store_alias: DataFrame) -> DataFrame:
 
 
 def hours_of(minutes: Column, digits: int) -> Column:
-    return half_up(minutes.cast("double") / 60, digits).cast(f"decimal(12,{digits})")
+    return half_up(minutes.cast("double") / 60, digits).cast(f"decimal(22,{digits})")
 
 
 def shift_block(start: Column, blocks: Mapping[int, str] = SHIFT_BLOCKS, other: str = "PM") -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,16 +76,25 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="storeops-")
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """The cluster's folder for cut lineage; a temporary one only on a local master without a setting."""
     folder = spark.conf.get(CHECKPOINT_DIR, "")
     if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="storeops-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-        return folder
-    return None
+        return folder.rstrip("/")
+    return _local_folder() if spark.sparkContext.master.startswith("local") else None
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    """An unused path in the shared folder."""
+    folder = shared_folder(spark)
+    if folder is None:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+    return f"{folder}/storeops-{purpose}/{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame) -> DataFrame:
@@ -93,7 +103,6 @@ def stage(df: DataFrame) -> DataFrame:
     The files survive lost executors, are read with column pruning, and carry real size statistics
     for the joins that follow. Without a shared folder the frame is returned as it is.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
+    if shared_folder(df.sparkSession) is None:
         return df
-    return write_table(df, f"{folder.rstrip('/')}/storeops-stage/{uuid.uuid4().hex}")
+    return write_table(df, new_folder(df.sparkSession, "stage"))
