@@ -152,6 +152,20 @@ def labour_pct(labour_hourly: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def labour_status(labour_hourly: DataFrame, by: str, target: float = LABOUR_TARGET) -> DataFrame:
+    """Labour share per group, its status against the target, and a sentence about it."""
+    rows = labour_pct(labour_hourly, [by])
+    share = F.col("labour_pct")
+    insight = sentence(
+        "{group}: labour {share}% of sales, {points} points against the {target}% target",
+        group=F.col(by),
+        share=percent_text(share),
+        points=percent_text(share - F.lit(target)),
+        target=percent_text(F.lit(target)),
+    )
+    return rows.withColumns({"status": target_status(share, target), "insight": insight})
+
+
 def labour_heatmap(labour_hourly: DataFrame) -> DataFrame:
     """Labour share per store (rows) and weekday (columns), opening hours only."""
     shown = labour_hourly.filter(F.col("hour_of_day").between(*HEATMAP_HOURS))

@@ -150,6 +150,18 @@ def _(x: Extracts) -> DataFrame:
     return measures.labour_pct(lazy(x).fact_labour_hourly, ["location_id"])
 
 
+@register(
+    "labour_status",
+    f"""SELECT location_id, CAST(c AS DOUBLE) AS labour_cost, CAST(n AS DOUBLE) AS net_sales, CAST({hu('p', 6)} AS DOUBLE) AS labour_pct,
+       CASE WHEN p <= 0.3e0 THEN 'On target' WHEN p > 0.3e0 THEN 'Above target' END AS status,
+       location_id || ': labour ' || {o.pct('p')} || '% of sales, ' || {o.pct('p - 0.3e0')} || ' points against the 30.0% target' AS insight
+FROM (SELECT location_id, sum(labour_cost) AS c, sum(net_sales) AS n, {div('sum(labour_cost)', 'sum(net_sales)')} AS p
+      FROM fact_hourly GROUP BY 1) l""",
+)
+def _(x: Extracts) -> DataFrame:
+    return measures.labour_status(lazy(x).fact_labour_hourly, "location_id")
+
+
 @register(
     "labour_heatmap",
     "SELECT location_id, "

@@ -42,6 +42,16 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def read_days(spark: SparkSession, path: str, day: str, start: str, end: str) -> DataFrame:
+    """The rows of a table laid out by month whose `day` lies in a closed range.
+
+    The month is filtered along with the day, so only the folders of those months are opened.
+    """
+    months = F.col("year_month").between(start[:7], end[:7])
+    days = F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    return spark.read.parquet(path).filter(months & days).drop("year_month")
+
+
 def append_log(df: DataFrame, path: str) -> DataFrame:
     """Add rows to a history table, created on first use."""
     df.write.mode("append").parquet(path)

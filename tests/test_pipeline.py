@@ -11,7 +11,8 @@ from storeops.operators import kpi, quality
 from storeops.plans.warehouse import Rules, keep_in, published_warehouse
 from storeops.schemas import EXTRACTS
 from storeops.sources import landing
-from storeops.sources.tables import append_log, export_csv, read_export, write_table
+from storeops.plans.refresh import refresh
+from storeops.sources.tables import append_log, export_csv, literal_rows, read_days, read_export, shared_folder, spread, write_table
 
 CSV = {
     "pos_sales": [
@@ -185,3 +186,54 @@ def test_month_layout_reads_back_the_same_columns(spark, tmp_path):
     back = write_table(df, str(tmp_path / "t"), month_of="d")
     assert back.columns == ["d", "v"] and sorted(r.v for r in back.collect()) == [1, 2, 3]
     assert (tmp_path / "t" / "year_month=2025-01").exists()
+
+
+def test_only_the_months_asked_for_are_opened(spark, tmp_path):
+    df = spark.createDataFrame([(date(2025, m, d), m) for m in range(1, 7) for d in (1, 20)], "d date, v int")
+    write_table(df, str(tmp_path / "t"), month_of="d")
+    out = read_days(spark, str(tmp_path / "t"), "d", "2025-02-10", "2025-03-10")
+    assert sorted((r.d, r.v) for r in out.collect()) == [(date(2025, 2, 20), 2), (date(2025, 3, 1), 3)]
+    assert out.columns == ["d", "v"] and len(out.inputFiles()) > 0
+    assert "PartitionFilters: [isnotnull(year_month" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_refresh_writes_everything_and_keeps_the_log(spark, folder, tmp_path):
+    notes = literal_rows(spark, [("L02", "It's fine"), ("ALL", "B")], "location_id", "recommendation_text")
+    for day in (9, 10):
+        tables = refresh(spark, folder, str(tmp_path / "core"), notes=notes, model="by hand", run_at=datetime(2026, 3, day))
+    log = quality.latest_run(tables["dq_results"])
+    assert tables["dq_results"].count() == 48 and log.count() == 24
+    assert tables["fact_sales_item_daypart"].count() == 3
+    assert {r.location_id: r.recommendation_text for r in tables["ai_recommendations"].collect()} == {"L02": "It's fine", "ALL": "B"}
+    assert tables["ai_kpi_input"].count() == 3
+
+
+def test_literal_rows_have_a_known_small_size(spark):
+    df = literal_rows(spark, [(1, "a'b"), (2, "c\\d")], "n", "t")
+    assert [(r.n, r.t) for r in df.orderBy("n").collect()] == [(1, "a'b"), (2, "c\\d")]
+    big = spark.range(10_000_000).withColumnRenamed("id", "n")
+    assert "BroadcastHashJoin" in big.join(df, "n")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_spread_only_touches_tables_in_few_pieces(spark):
+    few, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 64)
+    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many, "id") is many
+
+
+class Conf(dict):
+    def get(self, key, default=None):
+        return dict.get(self, key, default)
+
+
+class FakeSession:
+    def __init__(self, master, **conf):
+        self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+        self.sparkContext = type("C", (), {"master": master})()
+
+
+def test_the_shared_folder_is_the_clusters_or_local_only():
+    assert shared_folder(FakeSession("yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+    assert shared_folder(FakeSession("yarn")) is None
+    local = shared_folder(FakeSession("local[4]"))
+    assert local and shared_folder(FakeSession("local[4]")) == local
