@@ -78,7 +78,8 @@ def usage_base(
     `bought` are the `weekly_purchases`, read twice: for the store's own price and the chain's.
 
     The joins on the full grain come first and share one partitioning, which the aggregates already
-    have; the chain price and the ingredient, keyed by less, follow.
+    have; their sides grow with the data, so the merge hint rules a broadcast out. The chain price
+    and the ingredient, keyed by less, follow.
     """
     opening = count_as(counts, "opening_qty", F.date_add("count_date", 1))
     closing = count_as(counts, "closing_qty", F.date_sub("count_date", 6))
@@ -86,10 +87,10 @@ def usage_base(
     purchased = zero_if_null(F.col("purchased_qty"))
     return (
         theoretical_usage(sales, recipe)
-        .join(bought, WEEK_GRAIN, "left")
-        .join(weekly_waste(waste), WEEK_GRAIN, "left")
-        .join(opening, WEEK_GRAIN, "left")
-        .join(closing, WEEK_GRAIN, "left")
+        .join(bought.hint("merge"), WEEK_GRAIN, "left")
+        .join(weekly_waste(waste).hint("merge"), WEEK_GRAIN, "left")
+        .join(opening.hint("merge"), WEEK_GRAIN, "left")
+        .join(closing.hint("merge"), WEEK_GRAIN, "left")
         .join(chain_price(bought), ["week_start", "ingredient_id"], "left")
         .join(ingredient.select("ingredient_id", "std_cost_2025", "std_cost_2026"), "ingredient_id")
         .select(

@@ -70,7 +70,7 @@ def repeated(table: str, keys: str) -> str:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     return union(
         checks.unique_key("lines", x.table("lineitem"), ["l_orderkey", "l_linenumber"]),
         checks.unique_key("orders", x.table("orders"), ["o_orderkey"]),
@@ -97,7 +97,7 @@ def missing(table: str, col: str, ref: str, ref_col: str) -> str:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     return union(
         checks.no_orphans("order without lines", x.table("orders"), "o_orderkey", x.table("lineitem"), "l_orderkey"),
         checks.no_orphans("line without order", x.table("lineitem"), "l_orderkey", x.table("orders"), "o_orderkey"),
@@ -128,7 +128,7 @@ def one_sided(a: str, b: str, col: str) -> str:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     return union(
         checks.same_keys("items and recipes", w.dim_menu_item, w.bridge_recipe, "menu_item_id"),
         checks.same_keys("users and employees", w.fact_labour_shifts, w.dim_employee, "employee_id"),
@@ -165,7 +165,7 @@ def near(a: str, b: str, atol: str, rtol: str = "1e-5") -> str:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     false = F.lit(False)
     rebuilt = F.col("gross_sales") - F.col("discounts") - F.col("comps")
     return union(
@@ -378,7 +378,7 @@ def weekly_prices(w) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     return checks.complete_grid("price grid", weekly_prices(w), "week_start", w.dim_ingredient)
 
 
@@ -423,7 +423,7 @@ STANDS = f"'(' || {digits('t', 3)} || ', next highest ' || {digits('x', 3)} || '
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     labour = (
         w.fact_labour_hourly.filter(F.col("location_id").isNotNull())
         .groupBy("location_id", weekday_number(F.col("business_date")).alias("d"))
@@ -481,7 +481,7 @@ def _(x: Extracts) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse()
+    w = x.lazy_warehouse
     brand = F.col("ingredient_id") == "Brand#13"
     return union(
         checks.ratio_near(
@@ -569,7 +569,7 @@ def _(x: Extracts) -> DataFrame:
 
 def weather(x: Extracts) -> DataFrame:
     """Every third day is rainy."""
-    days = x.warehouse().dim_date.select(F.col("calendar_date").alias("date"))
+    days = x.lazy_warehouse.dim_date.select(F.col("calendar_date").alias("date"))
     return days.withColumn("is_rainy_day", F.when(F.unix_date("date") % 3 == 0, 1).otherwise(0))
 
 
@@ -608,7 +608,7 @@ def _(x: Extracts) -> DataFrame:
         checks.distinct_above("store spellings", sales, "store", 10),
         checks.defects_present(x.purchasing, {"pounds": F.col("unit") == "lb"}),
         checks.defects_present(x.timeclock, {"missing ends": F.col("actual_end").isNull()}),
-        checks.dedup_recovers("copies removed", sales, cols, x.warehouse().fact_sales_item_daypart),
+        checks.dedup_recovers("copies removed", sales, cols, x.lazy_warehouse.fact_sales_item_daypart),
     )
 
 

@@ -457,6 +457,17 @@ class Extracts(Mapping):
         "ref_employees",
     )
 
+    def with_frames(self, frames: Mapping[str, DataFrame]) -> Extracts:
+        """A copy in which some extracts are replaced."""
+        other = Extracts(self.spark, self.sf_dir)
+        other.__dict__.update({**self.__dict__, **frames})
+        other.__dict__.pop("lazy_warehouse", None)
+        return other
+
+    @cached_property
+    def lazy_warehouse(self) -> Warehouse:
+        return self.warehouse()
+
     def warehouse(self, keep=keep_lazy) -> Warehouse:
         return BenchWarehouse(self, self.store_alias, self.role_alias, BENCH_RULES, keep, suppliers=self.suppliers)
 
