@@ -42,3 +42,12 @@ def test_suite_has_74_checks(spark):
 def test_no_row_by_row_python_and_no_pair_joins(spark, name):
     plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search(r"Python|Cartesian|NestedLoop", plan)
+
+
+def test_the_bridge_reads_each_source_once(spark):
+    """Purchases and counts are used twice, but their shuffles are reused."""
+    df = QUERIES["usage_weekly_bridge"](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 3  # sales, purchases, waste
+    assert len(re.findall(r"FileScan parquet \[o_", plan)) == 2  # sales, counts
