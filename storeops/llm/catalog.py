@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storeops.llm.quality import op9_quality
 from storeops.llm.simhash import op6_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
+    "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {}
