@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from storeops.llm.bpe import op8_bpe
+from storeops.llm.decontaminate import op7_decontaminate
 from storeops.llm.quality import op9_quality
+from storeops.llm.secrets import op5_secrets
 from storeops.llm.simhash import op6_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_secrets": op5_secrets,
     "op6_simhash": op6_simhash,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
 }
 

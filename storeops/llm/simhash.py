@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeops.llm.common import ASCII_LOWER, map_texts, table, written
@@ -125,5 +125,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component of near duplicates, all columns as they are.
+
+    The row with the smallest doc_id stays (null ids come last; of rows that share an id, the one whose text
+    has the smallest hash, and of equal rows one). Only keys and hashes are grouped; texts are joined once.
+    """
+    key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text)))
+    keyed = docs.withColumn("_row_key", key)
+    prints = fingerprints(keyed.select(F.col(doc_id).alias("doc_id"), "_row_key", F.col(text).alias("text")), ["doc_id", "_row_key"])
+    prints = written(prints, "simhash")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row_key")
+    classes = written(prints.groupBy("fp").agg(F.min(rank).alias("first")), "classes")
+    roots = written(components(links(classes)), "roots")
+    whole = classes.join(roots, classes["fp"] == roots["node"], "left")
+    kept = whole.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    kept = written(kept.select(F.col("first._row_key").alias("_row_key")), "kept")
+    stay = keyed.join(kept, "_row_key", "left_semi")
+    one = Window.partitionBy("_row_key").orderBy("_row_key")
+    return stay.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
