@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from storeops.llm.bpe import op8_bpe
 from storeops.llm.decontaminate import op7_decontaminate
 from storeops.llm.licences import op10_licences
+from storeops.llm.minhash import op2_minhash
 from storeops.llm.quality import op9_quality
 from storeops.llm.secrets import op5_secrets
 from storeops.llm.simhash import op6_simhash
@@ -16,6 +17,7 @@ from storeops.llm.tokencount import op3_token_counts
 from storeops.llm.toxicity import op4_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_minhash": op2_minhash,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
