@@ -15,8 +15,10 @@ from storeops.llm.secrets import op5_secrets
 from storeops.llm.simhash import op6_simhash
 from storeops.llm.tokencount import op3_token_counts
 from storeops.llm.toxicity import op4_toxicity
+from storeops.llm.warc import OP1_SQL, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_minhash": op2_minhash,
     "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
@@ -28,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licences": op10_licences,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL}
