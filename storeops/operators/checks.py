@@ -302,8 +302,8 @@ def busiest_weekday(name: str, covers: DataFrame, busiest: int, slowest: int) ->
 
 
 def rainy_days_slower(name: str, covers: DataFrame, weather: DataFrame) -> DataFrame:
-    """Mean covers per hour row are lower on rainy days."""
-    days = covers.groupBy("business_date").agg(F.sum("covers").alias("covers"), F.count("*").alias("rows"))
+    """Mean covers per hour row are lower on rainy days; rows without covers do not count."""
+    days = covers.groupBy("business_date").agg(F.sum("covers").alias("covers"), F.count("covers").alias("rows"))
     wet = weather.select(F.col("date").alias("business_date"), "is_rainy_day")
     joined = days.join(wet, "business_date")
     means = joined.agg(

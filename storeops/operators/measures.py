@@ -37,16 +37,28 @@ def period_column(period: str, d: Column) -> Column:
     raise ValueError(f"unknown period: {period}")
 
 
-def sales_summary(sales: DataFrame, covers: DataFrame, by: Sequence[str], period: str | None = None) -> DataFrame:
-    """Net sales, covers and average check per group, from two facts."""
+def side_by_side(parts: Sequence[DataFrame], keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Sums from several facts, each already summed per group, in one row per group.
+
+    The sums are stacked and added up instead of joined: groups without a key (unmapped stores, undated
+    rows) stay a group of their own, and without any keys there is one row, the total.
+    """
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def sales_summary(
+    sales: DataFrame, covers: DataFrame, by: Sequence[str] = (), period: str | None = None
+) -> DataFrame:
+    """Net sales, covers and average check per group, from two facts. No keys: one row for the chain."""
     keys = [*by, period] if period else list(by)
 
-    def total(df: DataFrame, source: str, name: str) -> DataFrame:
+    def total(df: DataFrame, name: str) -> DataFrame:
         if period:
             df = df.withColumn(period, period_column(period, F.col("business_date")))
-        return df.dropna(subset=keys).groupBy(*keys).agg(F.sum(source).alias(name))
+        return df.groupBy(*keys).agg(F.sum(name).alias(name))
 
-    both = total(sales, "net_sales", "net_sales").join(total(covers, "covers", "covers"), keys, "full")
+    both = side_by_side([total(sales, "net_sales"), total(covers, "covers")], keys, ["net_sales", "covers"])
     return both.withColumn("avg_check", ratio(F.col("net_sales"), F.col("covers")))
 
 
@@ -115,10 +127,17 @@ def sales_by_daypart(sales: DataFrame) -> DataFrame:
     return parts.withColumn("share", ratio(F.col("net_sales"), total))
 
 
+def traffic_days(sales: DataFrame, covers: DataFrame) -> DataFrame:
+    """Net sales and covers per day from the two facts, for `traffic_and_check`."""
+    parts = [daily_totals(sales, F.sum("net_sales"), name="net_sales"), daily_totals(covers, F.sum("covers"), name="covers")]
+    return side_by_side(parts, ["business_date"], ["net_sales", "covers"])
+
+
 def traffic_and_check(sales_daily: DataFrame, calendar: DataFrame, period: str = "year") -> DataFrame:
     """Like-for-like growth split into guests and average check.
 
-    `sales_daily` has business_date, net_sales and covers. Only days with sales in both years count.
+    `sales_daily` has business_date, net_sales and covers. Only days with sales in both years count. 28 and
+    29 February meet the same day of the year before, which is counted once.
     """
     days = calendar.select(
         F.col("calendar_date").alias("business_date"), F.add_months("calendar_date", -12).alias("ly_date")
@@ -127,10 +146,14 @@ def traffic_and_check(sales_daily: DataFrame, calendar: DataFrame, period: str =
         F.col("business_date").alias("ly_date"), F.col("net_sales").alias("net_sales_ly"), F.col("covers").alias("covers_ly")
     )
     paired = sales_daily.join(days, "business_date").join(last, "ly_date")
-    names = ["net_sales", "net_sales_ly", "covers", "covers_ly"]
-    sums = paired.groupBy(period_column(period, F.col("business_date")).alias(period)).agg(
-        *[F.sum(n).alias(n) for n in names]
+    once = paired.groupBy(period_column(period, F.col("business_date")).alias(period), "ly_date").agg(
+        F.sum("net_sales").alias("net_sales"),
+        F.sum("covers").alias("covers"),
+        F.max("net_sales_ly").alias("net_sales_ly"),
+        F.max("covers_ly").alias("covers_ly"),
     )
+    names = ["net_sales", "net_sales_ly", "covers", "covers_ly"]
+    sums = once.groupBy(period).agg(*[F.sum(n).alias(n) for n in names])
     check, check_ly = ratio(F.col("net_sales"), F.col("covers")), ratio(F.col("net_sales_ly"), F.col("covers_ly"))
     return sums.withColumns(
         {
@@ -223,31 +246,30 @@ def weekly_covers(covers: DataFrame) -> DataFrame:
     )
 
 
-def action_savings(labour_hourly: DataFrame, weeks: float) -> DataFrame:
+def action_savings(labour_hourly: DataFrame, weeks: float | None = None) -> DataFrame:
     """Yearly saving per store and weekday from staffing to the chain's hours per guest.
 
     The published idea is excess hours x average wage; the definition of excess is this library's:
-    labour hours above covers x the chain's labour hours per cover. `weeks` is the length of the
-    period in weeks, to scale to 52.
+    labour hours above covers x the chain's labour hours per cover, all rows counted. `weeks` is the length
+    of the period in weeks, to scale to 52; by default it runs from the first day to the last.
     """
     d = F.col("business_date")
-    cells = (
-        labour_hourly.groupBy("location_id", weekday_name(d).alias("day_of_week"))
-        .agg(
-            F.sum("labour_hours").alias("hours"),
-            F.sum("labour_cost").alias("cost"),
-            F.sum("covers").alias("covers"),
-        )
-        .filter(F.col("location_id").isNotNull())
+    cells = labour_hourly.groupBy("location_id", weekday_name(d).alias("day_of_week")).agg(
+        F.sum("labour_hours").alias("hours"), F.sum("labour_cost").alias("cost"), F.sum("covers").alias("covers")
     )
     chain = cells.agg(ratio(F.sum("hours"), F.sum("covers"))).scalar()
+    if weeks is None:
+        days = labour_hourly.agg(F.date_diff(F.max(d), F.min(d)) + 1).scalar()
+        scale = ratio(F.lit(364), days)
+    else:
+        scale = F.lit(52.0 / weeks)
     excess = F.greatest(F.lit(0.0), F.col("hours").cast("double") - F.col("covers").cast("double") * chain)
     return cells.select(
         "location_id",
         "day_of_week",
         excess.alias("excess_hours"),
         ratio(F.col("cost"), F.col("hours")).alias("avg_wage"),
-    ).withColumn("annual_saving", F.col("excess_hours") * F.col("avg_wage") * F.lit(52.0 / weeks))
+    ).withColumn("annual_saving", F.col("excess_hours") * F.col("avg_wage") * scale)
 
 
 # --- food ----------------------------------------------------------------------------------
@@ -265,14 +287,15 @@ def over_use_pct(usage: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return bridge_sums(usage, by).withColumn("over_use_pct", ratio(extra, recipe))
 
 
-def food_cost_pct(usage: DataFrame, sales: DataFrame, by: Sequence[str], target: float = FOOD_COST_TARGET) -> DataFrame:
-    """Actual food cost over net sales per group, with its status against the target."""
-    cost = usage.dropna(subset=list(by)).groupBy(*by).agg(F.sum("actual_cost").alias("actual_cost"))
-    sold = sales.dropna(subset=list(by)).groupBy(*by).agg(F.sum("net_sales").alias("net_sales"))
+def food_cost_pct(
+    usage: DataFrame, sales: DataFrame, by: Sequence[str] = (), target: float = FOOD_COST_TARGET
+) -> DataFrame:
+    """Actual food cost over net sales per group, with its status against the target. No keys: the chain."""
+    cost = usage.groupBy(*by).agg(F.sum("actual_cost").alias("actual_cost"))
+    sold = sales.groupBy(*by).agg(F.sum("net_sales").alias("net_sales"))
+    both = side_by_side([cost, sold], list(by), ["actual_cost", "net_sales"])
     pct = ratio(F.col("actual_cost"), F.col("net_sales"))
-    return cost.join(sold, list(by), "full").withColumn("food_cost_pct", pct).withColumn(
-        "status", target_status(F.col("food_cost_pct"), target)
-    )
+    return both.withColumn("food_cost_pct", pct).withColumn("status", target_status(F.col("food_cost_pct"), target))
 
 
 def bridge_waterfall(usage: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -363,9 +386,8 @@ def targets_status(targets: DataFrame, actual: DataFrame) -> DataFrame:
 
 
 def note_lookup(selection: DataFrame, recommendations: DataFrame) -> DataFrame:
-    """The note of each selected store, or the chain's when it has none or none is selected."""
+    """The note of each selected store, blank if it has none; the chain's where no store is selected."""
     notes = recommendations.select("location_id", "recommendation_text")
     chain = notes.filter("location_id = 'ALL'").agg(F.max("recommendation_text")).scalar()
-    return selection.join(notes, "location_id", "left").select(
-        *selection.columns, F.coalesce("recommendation_text", chain).alias("note")
-    )
+    note = F.when(F.col("location_id").isNull(), chain).otherwise(F.col("recommendation_text"))
+    return selection.join(notes, "location_id", "left").select(*selection.columns, note.alias("note"))

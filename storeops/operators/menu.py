@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from storeops.functions.columns import half_up, in_days, ratio
 
 # Fixed value: an item is popular from 70 % of an equal share on.
-POPULARITY_SHARE = 0.7
+POPULARITY_SHARE = "0.70"
 
 
 def sold_by_item(sales: DataFrame, start: str, end: str) -> DataFrame:
@@ -27,11 +27,11 @@ def menu_quadrants(menu_item: DataFrame, sold: DataFrame) -> DataFrame:
     when it is expensive.
     """
     mains = menu_item.filter("is_main = 1").join(sold, "menu_item_id")
-    margin = F.col("contribution_margin_2025")
+    margin = F.col("contribution_margin_2025").cast("decimal(18,2)")
     total = mains.agg(
         F.struct(
             F.sum("qty_sold").alias("qty"),
-            F.sum(F.col("qty_sold") * margin).alias("margin"),
+            F.sum(F.col("qty_sold").cast("decimal(18,0)") * margin).alias("margin"),
             F.count("*").alias("items"),
         ).alias("t")
     ).scalar()
@@ -39,11 +39,14 @@ def menu_quadrants(menu_item: DataFrame, sold: DataFrame) -> DataFrame:
         {
             "mix": ratio(F.col("qty_sold"), total["qty"]),
             "avg_cm": ratio(total["margin"], total["qty"]),
-            "threshold": F.lit(POPULARITY_SHARE) / total["items"],
+            "threshold": F.lit(float(POPULARITY_SHARE)) / total["items"],
+            "total": total,
         }
     )
-    popular = F.col("mix") >= F.col("threshold")
-    rich = margin.cast("double") >= F.col("avg_cm")
+    # Compared as products of decimals: a quotient would round, and items right at the mean would fall below it.
+    qty, share = F.col("qty_sold").cast("decimal(18,0)"), F.lit(POPULARITY_SHARE).cast("decimal(3,2)")
+    popular = qty * F.col("total.items").cast("decimal(10,0)") >= share * F.col("total.qty").cast("decimal(18,0)")
+    rich = margin * F.col("total.qty").cast("decimal(18,0)") >= F.col("total.margin")
     return scored.select(
         "menu_item_id",
         "menu_item_name",

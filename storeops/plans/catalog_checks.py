@@ -11,6 +11,7 @@ from storeops.plans import oracle as o
 from storeops.plans.catalog import landed, register, staged, staged_all
 from storeops.plans.extracts import Extracts
 from storeops.plans.oracle import cte, div, hu
+from storeops.sources.tables import stage
 from storeops.plans.validation import Expectations, validation_suite
 from storeops.schemas import EXTRACTS
 
@@ -21,6 +22,7 @@ BENCH_EXPECTATIONS = Expectations(
     labour_story=("L6", 1),
     usage_story=("L5", "Brand#13"),
     price_months=("1999-02", "2000-02"),
+    manager_role="Purchase",
 )
 
 
@@ -161,7 +163,7 @@ def near(a: str, b: str, atol: str, rtol: str = "1e-5") -> str:
             "cost is hours x wage",
             f"SELECT count(*) AS n FROM fact_shifts WHERE NOT {near('actual_hours * CAST(hourly_wage AS DECIMAL(10,2))', 'labour_cost', '0.011e0')}",
         ),
-        counted("covers with sales", "SELECT count(*) AS n FROM fact_covers WHERE net_sales > 0 AND NOT covers > 0"),
+        counted("covers with sales", "SELECT count(*) AS n FROM fact_covers WHERE net_sales > 0 AND (covers IS NULL OR covers <= 0)"),
     ),
 )
 def _(x: Extracts) -> DataFrame:
@@ -190,7 +192,7 @@ def _(x: Extracts) -> DataFrame:
                 ),
             },
         ),
-        checks.row_rules(w.fact_covers_hourly, {"covers with sales": (F.col("net_sales") > 0) & ~(F.col("covers") > 0)}),
+        checks.row_rules(w.fact_covers_hourly, {"covers with sales": (F.col("net_sales") > 0) & ~F.coalesce(F.col("covers") > 0, false)}),
     )
 
 
@@ -222,7 +224,7 @@ def _(x: Extracts) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_labour_shifts"))
+    w = x.warehouse(staged(x, "fact_labour_shifts"))
     shifts, employee = w.fact_labour_shifts, w.dim_employee
     return union(
         checks.joined_agree("shift role", shifts, "role", employee, "role", "employee_id"),
@@ -262,7 +264,7 @@ def _(x: Extracts) -> DataFrame:
     from storeops.operators.clean import type_columns
     from storeops.schemas import kinds
 
-    w = x.warehouse(staged("fact_covers_hourly", "fact_labour_shifts"))
+    w = x.warehouse(staged(x, "fact_covers_hourly", "fact_labour_shifts"))
     typed = type_columns(x.pos_sales, kinds("pos_sales"))
     return union(
         checks.reconciled(
@@ -310,7 +312,7 @@ def _(x: Extracts) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_labour_shifts"))
+    w = x.warehouse(staged(x, "fact_labour_shifts"))
     shifts = w.fact_labour_shifts
     return union(
         checks.weekly_cap("weekly hours", shifts, 48.0),
@@ -341,7 +343,7 @@ def _(x: Extracts) -> DataFrame:
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_ingredient_usage_weekly", "fact_sales_item_daypart"))
+    w = x.warehouse(staged(x, "fact_ingredient_usage_weekly", "fact_sales_item_daypart"))
     usage = w.fact_ingredient_usage_weekly
     return union(
         checks.stock_identity("stock identity", usage, w.fact_inventory_counts, w.fact_purchases),
@@ -612,12 +614,291 @@ def _(x: Extracts) -> DataFrame:
     )
 
 
-@register("validation_suite")
+def disagree(mine: str, master: str, on: str, agree: str) -> str:
+    """Rows whose key is in the master and whose values do not agree."""
+    return f"SELECT count(*) AS n FROM {mine} mine JOIN {master} master USING ({on}) WHERE ({agree}) IS DISTINCT FROM true"
+
+
+def breaking(table: str, rule: str) -> str:
+    return f"SELECT count(*) AS n FROM {table} WHERE ({rule}) IS DISTINCT FROM true"
+
+
+def share(a: str, b: str, low: float, high: float, name: str) -> str:
+    r = div("a", "b")
+    return row(name, f"{r} > {low}e0 AND {r} < {high}e0", f"'(' || {digits(r, 3)} || ')'", f"SELECT ({a}) AS a, ({b}) AS b")
+
+
+SUITE_KEYS = {
+    "dim_location": ("dim_location", "location_id"),
+    "dim_date": ("dim_date", "calendar_date"),
+    "dim_menu_item": ("dim_menu_item", "menu_item_id"),
+    "dim_ingredient": ("dim_ingredient", "ingredient_id"),
+    "dim_employee": ("dim_employee", "employee_id"),
+    "bridge_recipe": ("bridge_recipe", "menu_item_id, ingredient_id"),
+    "sales": ("fact_sales", "business_date, location_id, daypart, menu_item_id"),
+    "covers": ("fact_covers", "business_date, location_id, hour_of_day"),
+    "shifts": ("fact_shifts", "shift_id"),
+    "labour hours": ("fact_hourly", "business_date, location_id, hour_of_day"),
+    "weekly prices": ("price_week", "week_start, ingredient_id"),
+    "usage": ("fact_usage", "week_start, location_id, ingredient_id"),
+    "counts": ("fact_counts", "count_date, location_id, ingredient_id"),
+    "targets": (
+        f"(SELECT DISTINCT {o.month('business_date')} AS year_month, location_id FROM fact_sales WHERE business_date IS NOT NULL)",
+        "year_month, location_id",
+    ),
+    "purchases": ("fact_purchases", "po_line_id"),
+}
+SUITE_REFERENCES = {
+    "sales store": ("fact_sales", "location_id", "dim_location", "location_id"),
+    "sales item": ("fact_sales", "menu_item_id", "dim_menu_item", "menu_item_id"),
+    "recipe item": ("bridge_recipe", "menu_item_id", "dim_menu_item", "menu_item_id"),
+    "recipe ingredient": ("bridge_recipe", "ingredient_id", "dim_ingredient", "ingredient_id"),
+    "shift employee": ("fact_shifts", "employee_id", "dim_employee", "employee_id"),
+    "purchase ingredient": ("fact_purchases", "ingredient_id", "dim_ingredient", "ingredient_id"),
+    "sales date": ("fact_sales", "business_date", "dim_date", "calendar_date"),
+    "covers date": ("fact_covers", "business_date", "dim_date", "calendar_date"),
+    "shift date": ("fact_shifts", "business_date", "dim_date", "calendar_date"),
+    "labour hour date": ("fact_hourly", "business_date", "dim_date", "calendar_date"),
+    "purchase date": ("fact_purchases", "delivery_date", "dim_date", "calendar_date"),
+    "count date": ("fact_counts", "count_date", "dim_date", "calendar_date"),
+    "waste date": ("fact_waste", "waste_date", "dim_date", "calendar_date"),
+    "price week": ("price_week", "week_start", "dim_date", "calendar_date"),
+    "usage week": ("fact_usage", "week_start", "dim_date", "calendar_date"),
+    "weather date": ("dim_date", "calendar_date", "dim_date", "calendar_date"),
+}
+cte("cover_days", "SELECT business_date, sum(covers) AS covers, count(covers) AS n FROM fact_covers GROUP BY 1")
+cte("raw_kinds", f"SELECT count(*) AS kinds, sum(n) AS held FROM (SELECT count(*) AS n FROM raw_sales GROUP BY {SALES_COLUMNS}) k")
+SUITE_SALES = rows(
+    counted("every menu item has a recipe", one_sided("dim_menu_item", "bridge_recipe", "menu_item_id"), "on one side only"),
+    counted(
+        "recipe unit is the ingredient''s",
+        disagree("bridge_recipe", "dim_ingredient", "ingredient_id", "mine.unit = master.unit"),
+        "violations",
+    ),
+    counted(
+        "no negative sales",
+        breaking("fact_sales", " AND ".join(f"coalesce({m} >= 0, false)" for m in ("qty_sold", "gross_sales", "discounts", "comps", "net_sales"))),
+    ),
+    counted("net is gross less discounts and comps", breaking("fact_sales", near("gross_sales - discounts - comps", "net_sales", "0.011e0"))),
+    counted("gross is quantity x price", breaking("fact_sales", near("qty_sold * unit_price", "gross_sales", "0.011e0"))),
+    counted(
+        "no sales on the closed day",
+        "SELECT count(*) AS n FROM fact_sales WHERE month(business_date) = 12 AND day(business_date) = 25",
+    ),
+    counted(
+        "unit price is the list price of the date",
+        disagree(
+            "fact_sales",
+            "dim_menu_item",
+            "menu_item_id",
+            near("unit_price", "CASE WHEN business_date >= DATE '1998-01-05' THEN price_2026 ELSE price_2025 END", "1e-8"),
+        ),
+    ),
+    row(
+        "hourly sales add up to item sales",
+        "gap < 0.2",
+        f"'max diff ' || {digits('gap', 2)}",
+        "SELECT coalesce(max(abs(d)), 0) AS gap FROM (SELECT coalesce(sum(net_sales) FILTER (side = 1), 0) "
+        "- coalesce(sum(net_sales) FILTER (side = 2), 0) AS d FROM ("
+        "SELECT 1 AS side, business_date, location_id, daypart, net_sales FROM fact_sales UNION ALL "
+        "SELECT 2, business_date, location_id, daypart, net_sales FROM fact_covers) s "
+        "WHERE business_date IS NOT NULL AND location_id IS NOT NULL AND daypart IS NOT NULL "
+        "GROUP BY business_date, location_id, daypart) g",
+    ),
+    counted("covers wherever there are sales", "SELECT count(*) AS n FROM fact_covers WHERE net_sales > 0 AND (covers IS NULL OR covers <= 0)"),
+)
+SUITE_LABOUR = rows(
+    counted(
+        "shifts end after they start",
+        breaking("fact_shifts", "actual_end > actual_start AND scheduled_end > scheduled_start"),
+    ),
+    counted("shifts last 3 to 10 hours", breaking("fact_shifts", "actual_hours >= 3 AND actual_hours <= 10")),
+    counted(
+        "labour cost is hours x wage",
+        breaking("fact_shifts", near("actual_hours * CAST(hourly_wage AS DECIMAL(10,2))", "labour_cost", "0.011e0")),
+    ),
+    row(
+        "hourly labour adds up to shifts",
+        f"{div('abs(a - b)', 'b')} < 1e-4",
+        f"{digits('a', 0)} || ' vs ' || {digits('b', 0)}",
+        "SELECT (SELECT sum(labour_cost) FROM fact_hourly) AS a, (SELECT sum(labour_cost) FROM fact_shifts) AS b",
+    ),
+    row(
+        "hourly covers are the covers",
+        "a = b",
+        f"{digits('a', 0)} || ' vs ' || {digits('b', 0)}",
+        "SELECT (SELECT sum(covers) FROM fact_hourly) AS a, (SELECT sum(covers) FROM fact_covers) AS b",
+    ),
+    counted("shift role is the employee''s", disagree("fact_shifts", "dim_employee", "employee_id", "mine.role = master.role"), "violations"),
+    counted(
+        "shift store is the employee''s",
+        disagree("fact_shifts", "dim_employee", "employee_id", "mine.location_id = master.home_location_id"),
+        "violations",
+    ),
+    counted(
+        "employees are hired before they work",
+        disagree("fact_shifts", "dim_employee", "employee_id", "master.hire_date <= mine.business_date"),
+        "violations",
+    ),
+    counted("one shift per employee and day", repeated("fact_shifts", "employee_id, business_date"), "groups"),
+    row(
+        "weekly hours under the cap",
+        "top <= 48",
+        f"'(mean ' || {digits('mean', 1)} || ', p95 ' || {digits('p95', 1)} || ', max ' || {digits('top', 1)} || ')'",
+        f"SELECT {div('sum(h)', 'count(h)')} AS mean, quantile_cont(CAST(h AS DOUBLE), 0.95) AS p95, max(h) AS top FROM "
+        f"(SELECT sum(actual_hours) AS h FROM fact_shifts GROUP BY employee_id, {o.monday('business_date')}) x",
+    ),
+    row("wages above the legal minimum", "low >= 17.85", "'(min ' || CAST(low AS VARCHAR) || ')'", "SELECT min(hourly_wage_2025) AS low FROM dim_employee"),
+    row(
+        "two managers per store and day",
+        "n >= 2",
+        "'(min ' || n || ')'",
+        "SELECT min(c) AS n FROM (SELECT count(*) AS c FROM fact_shifts WHERE role = 'Purchase' GROUP BY business_date, location_id) g",
+    ),
+)
+SUITE_INVENTORY = rows(
+    row(
+        "actual usage is opening + purchases - closing",
+        "gap < 0.02",
+        f"'(max err ' || {digits('gap', 4)} || ', missing ' || missing || ')'",
+        "SELECT max(abs(d)) AS gap, count(*) - count(d) AS missing FROM (SELECT u.actual_qty - (s.opened_qty + coalesce(s.bought_qty, 0) "
+        "- s.closed_qty) AS d FROM fact_usage u LEFT JOIN stock_week s USING (week_start, location_id, ingredient_id)) i",
+    ),
+    counted("no negative counts", breaking("fact_counts", "qty_on_hand >= 0")),
+    counted("no negative purchases", breaking("fact_purchases", "qty_received > 0")),
+    counted(
+        "theoretical usage is sales x recipe",
+        "SELECT count(*) AS n FROM fact_usage u LEFT JOIN theo t USING (week_start, location_id, ingredient_id) WHERE NOT "
+        + near("t.theoretical_qty", "u.theoretical_qty", "0.01e0"),
+    ),
+    row(
+        "a price for every week and ingredient",
+        "r = w * m",
+        "'(' || r || ' rows, ' || w || ' x ' || m || ')'",
+        "SELECT count(*) AS r, count(DISTINCT week_start) AS w, (SELECT count(*) FROM dim_ingredient) AS m FROM price_week",
+    ),
+)
+SUITE_STORIES = rows(
+    row(
+        "one store-weekday has the highest labour share",
+        "t > x + 0.05e0",
+        STANDS,
+        outlier(
+            "(SELECT location_id, isodow(business_date) AS d, sum(labour_cost) AS c, sum(net_sales) AS s FROM fact_hourly "
+            "WHERE location_id IS NOT NULL GROUP BY 1, 2)",
+            div("c", "s"),
+            "location_id = 'L6' AND d = 1",
+        ),
+    ),
+    row(
+        "one store over-uses the ingredient",
+        "t > x + 0.15e0",
+        STANDS,
+        outlier(
+            "(SELECT location_id, sum(actual_qty) AS a, sum(theoretical_qty) AS q FROM fact_usage "
+            "WHERE ingredient_id = 'Brand#13' AND week_start >= DATE '2000-03-06' AND location_id IS NOT NULL GROUP BY 1)",
+            div("a", "q") + " - 1",
+            "location_id = 'L5'",
+        ),
+    ),
+    row(
+        "that store used it normally before",
+        "abs(r - 1.055e0) < 0.03e0",
+        f"'(' || {digits('r', 3)} || ')'",
+        f"SELECT {div('sum(actual_qty)', 'sum(theoretical_qty)')} AS r FROM fact_usage "
+        "WHERE ingredient_id = 'Brand#13' AND location_id = 'L5' AND week_start < DATE '2000-03-06'",
+    ),
+    row(
+        "its price rose year on year",
+        f"{div('a', 'b')} > 1.4e0",
+        f"'(' || {digits('b', 2)} || ' -> ' || {digits('a', 2)} || ')'",
+        "SELECT "
+        + ", ".join(
+            f"(SELECT {hu(div('sum(market_unit_cost)', 'count(*)'), 8)} FROM price_week WHERE ingredient_id = 'Brand#13' "
+            f"AND {o.month('week_start')} = '{m}') AS {n}"
+            for n, m in (("b", "1999-02"), ("a", "2000-02"))
+        ),
+    ),
+    row(
+        "menu items using the ingredient",
+        "true",
+        "'(N=' || n || ')'",
+        "SELECT count(DISTINCT menu_item_id) AS n FROM bridge_recipe WHERE ingredient_id = 'Brand#13'",
+    ),
+    share(
+        "SELECT sum(actual_qty * market_unit_cost) FROM fact_usage JOIN price_week USING (week_start, ingredient_id)",
+        "SELECT sum(net_sales) FROM fact_sales",
+        0.26,
+        0.32,
+        "food cost share is plausible",
+    ),
+    share("SELECT sum(labour_cost) FROM fact_shifts", "SELECT sum(net_sales) FROM fact_sales", 0.27, 0.34, "labour share is plausible"),
+    row(
+        "July is busier than January",
+        "a > b * 1.15e0",
+        versus("a", "b"),
+        "SELECT "
+        + ", ".join(
+            f"(SELECT {div('sum(covers)', 'count(*)')} FROM cover_days WHERE month(business_date) = {m}) AS {n}" for n, m in (("a", 7), ("b", 1))
+        ),
+    ),
+    row(
+        "Saturday is busiest, Monday slowest",
+        "t = 6 AND l = 1",
+        "'(busiest ' || t || ', slowest ' || l || ')'",
+        "SELECT arg_max(d, ROW(c, -d)) AS t, arg_min(d, ROW(c, d)) AS l FROM "
+        "(SELECT isodow(business_date) AS d, sum(covers) AS c FROM cover_days GROUP BY 1) w",
+    ),
+    row(
+        "rainy days are slower",
+        "a < b",
+        versus("a", "b"),
+        "SELECT "
+        + ", ".join(
+            f"(SELECT {div('sum(covers)', 'sum(n)')} FROM cover_days WHERE business_date IN (SELECT calendar_date FROM dim_date) "
+            f"AND (date_diff('day', DATE '1970-01-01', business_date) % 3 = 0) = {wet}) AS {n}"
+            for n, wet in (("a", "true"), ("b", "false"))
+        ),
+    ),
+)
+SUITE_RAW = rows(
+    row("raw sales hold copies", "held > kinds", "'(' || (held - kinds) || ')'", "SELECT * FROM raw_kinds"),
+    row(
+        "raw sales hold text dates",
+        "r > 0.03e0",
+        f"'(' || {digits('r', 3)} || ')'",
+        "SELECT avg(CASE WHEN regexp_matches(business_date, '[A-Za-z]') THEN 1e0 ELSE 0e0 END) AS r FROM raw_sales",
+    ),
+    row("raw sales miss net values", "n > 0", "'(' || n || ')'", "SELECT count(*) - count(net_sales) AS n FROM raw_sales"),
+    row("raw sales spell stores in many ways", "n > 10", "'(' || n || ' distinct)'", "SELECT count(DISTINCT store) AS n FROM raw_sales"),
+    row("raw purchases hold pounds", "n > 0", "'(' || n || ')'", "SELECT count(*) AS n FROM raw_purchases WHERE unit = 'lb'"),
+    row("raw timeclock misses ends", "n > 0", "'(' || n || ')'", "SELECT count(*) - count(actual_end) AS n FROM raw_shifts"),
+    row(
+        "raw sales without copies are the clean rows",
+        "kinds = n",
+        "'(' || kinds || ' vs ' || n || ')'",
+        "SELECT kinds, (SELECT count(*) FROM fact_sales) AS n FROM raw_kinds",
+    ),
+)
+
+
+@register(
+    "validation_suite",
+    rows(
+        *[counted(f"unique key: {name}", repeated(*found), "repeated keys") for name, found in SUITE_KEYS.items()],
+        *[counted(f"known: {name}", missing(*found), "orphans") for name, found in SUITE_REFERENCES.items()],
+        SUITE_SALES,
+        SUITE_LABOUR,
+        SUITE_INVENTORY,
+        SUITE_STORIES,
+        SUITE_RAW,
+    ),
+)
 def _(x: Extracts) -> DataFrame:
-    """All 74 checks over written tables. The families above have a twin each; this one has none."""
+    """All 74 checks over written tables."""
     raw = landed(x, "pos_sales", "purchasing", "timeclock")
-    w = raw.warehouse(staged_all)
+    w = raw.warehouse(staged_all(x))
     tables = w.build_all()
-    prices = staged_all("prices", weekly_prices(w))
+    prices = stage(weekly_prices(w), x.key("prices"))
     targets = measures.monthly_targets(w.fact_sales_item_daypart)
     return validation_suite(raw, tables, prices, weather(x), targets, BENCH_EXPECTATIONS)

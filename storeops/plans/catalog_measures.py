@@ -11,6 +11,7 @@ from storeops.plans import oracle as o
 from storeops.plans.catalog import lazy, register, staged, usage
 from storeops.plans.extracts import Extracts, money
 from storeops.plans.oracle import cte, div, hu, out
+from storeops.sources.tables import stage
 
 # --- sales -----------------------------------------------------------------------------------
 
@@ -91,20 +92,33 @@ def _(x: Extracts) -> DataFrame:
     return measures.sales_by_daypart(lazy(x).fact_sales_item_daypart)
 
 
-@register(
-    "sales_summary",
-    f"""SELECT location_id, year, CAST(net_sales AS DOUBLE) AS net_sales, CAST(covers AS BIGINT) AS covers,
-       CAST({hu(div('net_sales', 'covers'), 6)} AS DOUBLE) AS avg_check
-FROM (SELECT location_id, CAST(year(business_date) AS BIGINT) AS year, sum(net_sales) AS net_sales FROM fact_sales
-      WHERE location_id IS NOT NULL AND business_date IS NOT NULL GROUP BY 1, 2) s
-FULL JOIN (SELECT location_id, CAST(year(business_date) AS BIGINT) AS year, sum(covers) AS covers FROM fact_covers
-      WHERE location_id IS NOT NULL AND business_date IS NOT NULL GROUP BY 1, 2) c USING (location_id, year)""",
+cte(
+    "both_facts",
+    """
+SELECT location_id, CAST(year(business_date) AS BIGINT) AS year, net_sales, NULL AS covers FROM fact_sales
+UNION ALL SELECT location_id, year(business_date), NULL, covers FROM fact_covers
+""",
 )
+
+
+def summary_sql(keys: str) -> str:
+    return f"""SELECT {keys} CAST(sum(net_sales) AS DOUBLE) AS net_sales, CAST(sum(covers) AS BIGINT) AS covers,
+       CAST({hu(div('sum(net_sales)', 'sum(covers)'), 6)} AS DOUBLE) AS avg_check FROM both_facts GROUP BY ALL"""
+
+
+@register("sales_summary", summary_sql("location_id, year,"))
 def _(x: Extracts) -> DataFrame:
     w = lazy(x)
     return measures.sales_summary(w.fact_sales_item_daypart, w.fact_covers_hourly, ["location_id"], "year")
 
 
+@register("sales_total", summary_sql(""))
+def _(x: Extracts) -> DataFrame:
+    """The chain's card: one row, unmapped stores and undated rows included."""
+    w = lazy(x)
+    return measures.sales_summary(w.fact_sales_item_daypart, w.fact_covers_hourly)
+
+
 cte(
     "order_days",
     """
@@ -129,9 +143,10 @@ def order_days(x: Extracts) -> DataFrame:
        CAST(cl AS BIGINT) AS covers_ly, CAST({hu(div('s', 'sl') + ' - 1', 6)} AS DOUBLE) AS sales_growth,
        CAST({hu(div('c', 'cl') + ' - 1', 6)} AS DOUBLE) AS traffic_growth,
        CAST({hu(div(div('s', 'c'), div('sl', 'cl')) + ' - 1', 6)} AS DOUBLE) AS check_growth
-FROM (SELECT CAST(year(c.business_date) AS BIGINT) AS year, sum(c.net_sales) AS s, sum(l.net_sales) AS sl, sum(c.covers) AS c,
-             sum(l.covers) AS cl
-      FROM order_days c JOIN order_days l ON l.business_date = CAST(c.business_date - INTERVAL 1 YEAR AS DATE) GROUP BY 1) y""",
+FROM (SELECT CAST(year(business_date) AS BIGINT) AS year, sum(net_sales) AS s, sum(covers) AS c FROM order_days
+      WHERE CAST(business_date - INTERVAL 1 YEAR AS DATE) IN (SELECT business_date FROM order_days) GROUP BY 1) now
+JOIN (SELECT CAST(year(business_date) + 1 AS BIGINT) AS year, sum(net_sales) AS sl, sum(covers) AS cl FROM order_days
+      WHERE business_date IN (SELECT CAST(business_date - INTERVAL 1 YEAR AS DATE) FROM order_days) GROUP BY 1) before USING (year)""",
 )
 def _(x: Extracts) -> DataFrame:
     return measures.traffic_and_check(order_days(x), lazy(x).dim_date)
@@ -207,21 +222,25 @@ UNION ALL SELECT (SELECT max(week_start) FROM w) + CAST(step * 7 AS INTEGER),
 FROM m, (SELECT unnest(range(1, 5)) AS step) f""",
 )
 def _(x: Extracts) -> DataFrame:
-    """Orders per week stand for covers: the events span only five weeks, the fit needs eight."""
-    return measures.weekly_covers_forecast(measures.weekly_covers(order_days(x)))
+    """Orders per week stand for covers: the events span only five weeks, the fit needs eight.
+
+    The weeks are read three times, so they are summed once and written.
+    """
+    return measures.weekly_covers_forecast(stage(measures.weekly_covers(order_days(x)), x.key("weekly_orders")))
 
 
 @register(
     "action_savings",
     f"""WITH c AS (SELECT location_id, {o.dow('business_date')} AS day_of_week, sum(labour_hours) AS hours, sum(labour_cost) AS cost,
-                    sum(covers) AS covers FROM fact_hourly WHERE location_id IS NOT NULL GROUP BY 1, 2),
+                    sum(covers) AS covers FROM fact_hourly GROUP BY 1, 2),
 e AS (SELECT location_id, day_of_week, greatest(0e0, CAST(hours AS DOUBLE) - CAST(covers AS DOUBLE)
              * (SELECT {div('sum(hours)', 'sum(covers)')} FROM c)) AS excess_hours, {div('cost', 'hours')} AS avg_wage FROM c)
 SELECT location_id, day_of_week, CAST({hu('excess_hours', 6)} AS DOUBLE) AS excess_hours, CAST({hu('avg_wage', 6)} AS DOUBLE) AS avg_wage,
-       CAST({hu('excess_hours * avg_wage * (52e0 / 4e0)', 6)} AS DOUBLE) AS annual_saving FROM e""",
+       CAST({hu('excess_hours * avg_wage * (364e0 / days)', 6)} AS DOUBLE) AS annual_saving
+FROM e, (SELECT date_diff('day', min(business_date), max(business_date)) + 1 AS days FROM fact_hourly) span""",
 )
 def _(x: Extracts) -> DataFrame:
-    return measures.action_savings(lazy(x).fact_labour_hourly, weeks=4)
+    return measures.action_savings(lazy(x).fact_labour_hourly)
 
 
 # --- food --------------------------------------------------------------------------------------
@@ -249,19 +268,28 @@ def _(x: Extracts) -> DataFrame:
     return measures.over_use_pct(usage(x), ["location_id"])
 
 
-@register(
-    "food_cost_pct",
-    f"""SELECT location_id, CAST(a AS DOUBLE) AS actual_cost, CAST(n AS DOUBLE) AS net_sales, CAST({hu('p', 6)} AS DOUBLE) AS food_cost_pct,
+def food_cost_sql(keys: str) -> str:
+    comma = f"{keys}, " if keys else ""
+    return f"""SELECT {comma}CAST(a AS DOUBLE) AS actual_cost, CAST(n AS DOUBLE) AS net_sales, CAST({hu('p', 6)} AS DOUBLE) AS food_cost_pct,
        CASE WHEN p <= 0.285e0 THEN 'On target' WHEN p > 0.285e0 THEN 'Above target' END AS status
-FROM (SELECT *, {div('a', 'n')} AS p FROM
-  (SELECT location_id, sum(actual_cost) AS a FROM fact_usage WHERE location_id IS NOT NULL GROUP BY 1) u
-  FULL JOIN (SELECT location_id, sum(net_sales) AS n FROM fact_sales WHERE location_id IS NOT NULL GROUP BY 1) s USING (location_id)) f""",
-)
+FROM (SELECT {comma}sum(cost) AS a, sum(sold) AS n, {div('sum(cost)', 'sum(sold)')} AS p FROM
+  (SELECT location_id, actual_cost AS cost, NULL AS sold FROM fact_usage
+   UNION ALL SELECT location_id, NULL, net_sales FROM fact_sales) m GROUP BY ALL) f"""
+
+
+@register("food_cost_pct", food_cost_sql("location_id"))
 def _(x: Extracts) -> DataFrame:
-    w = x.warehouse(staged("fact_sales_item_daypart"))
+    w = x.warehouse(staged(x, "fact_sales_item_daypart"))
     return measures.food_cost_pct(w.fact_ingredient_usage_weekly, w.fact_sales_item_daypart, ["location_id"])
 
 
+@register("food_cost_total", food_cost_sql(""))
+def _(x: Extracts) -> DataFrame:
+    """The chain's card: one row, all rows included."""
+    w = x.warehouse(staged(x, "fact_sales_item_daypart"))
+    return measures.food_cost_pct(w.fact_ingredient_usage_weekly, w.fact_sales_item_daypart)
+
+
 @register(
     "bridge_waterfall",
     """SELECT 'Supplier price' AS step, CAST(sum(price_variance) AS DOUBLE) AS value FROM fact_usage

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from storeops.functions.columns import half_up
 from storeops.operators.calendar import holiday_table
 from storeops.plans.warehouse import Rules, Warehouse, keep_lazy
-from storeops.sources.tables import literal_rows, spread
+from storeops.sources.tables import literal_rows
 
 # The benchmark orders run from 1995 to 2001 and the events through January 2024.
 BENCH_RULES = Rules(
@@ -170,7 +170,7 @@ class Extracts(Mapping):
         a join of lookups would be estimated as larger than the lines.
         """
         return (
-            spread(self.table("lineitem"), "l_orderkey", "l_linenumber")
+            self.table("lineitem")
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
@@ -249,7 +249,7 @@ class Extracts(Mapping):
         end = start + F.expr("interval 8 hours")
         overrun = F.make_dt_interval(mins=(k % 41 - 20).cast("int"))
         nation = self.table("nation").select("n_nationkey", "n_name")
-        shifts = spread(self.table("events"), "event_id").join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
+        shifts = self.table("events").join(nation, F.col("user_id") % 25 == F.col("n_nationkey"))
         role = F.col("event_type")
         return shifts.select(
             text(k).alias("shift_id"),
@@ -457,6 +457,10 @@ class Extracts(Mapping):
         "ref_employees",
     )
 
+    def key(self, name: str) -> str:
+        """The name of a table of these extracts among staged ones."""
+        return f"{self.sf_dir}:{name}"
+
     def with_frames(self, frames: Mapping[str, DataFrame]) -> Extracts:
         """A copy in which some extracts are replaced."""
         other = Extracts(self.spark, self.sf_dir)

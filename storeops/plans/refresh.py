@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -9,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storeops.operators import kpi, quality
 from storeops.plans.warehouse import Rules, keep_in, published_warehouse
-from storeops.sources.landing import land_all
-from storeops.sources.tables import append_log, write_table
+from storeops.fixed_values import EXPECTED_LOADS
+from storeops.sources.landing import land_all, manifest_check, row_counts
+from storeops.sources.tables import append_log, read_days, write_table
 
 
 def refresh(
@@ -24,12 +26,14 @@ def refresh(
     notes: DataFrame | None = None,
     model: str = "",
     run_at: datetime | None = None,
+    expected_loads: Sequence[tuple[str, int]] = tuple(EXPECTED_LOADS),
 ) -> dict[str, DataFrame]:
     """Rebuild every table below `core_folder`; safe to run again, the check log keeps its history.
 
     Each step writes its tables and the next reads them back: columns and files are pruned per
     reader, and joins know the real sizes. `notes` (location_id, recommendation_text) are attached
-    to the prompts they answer.
+    to the prompts they answer. Beside the tables come the load manifest against `expected_loads`, the row
+    counts, the monthly reconciliation and the latest check run.
     """
     core_folder = core_folder.rstrip("/")
     stamp = run_at or datetime.now()
@@ -47,11 +51,14 @@ def refresh(
     counts = quality.quality_counts(raw, core, warehouse.store_alias, warehouse.role_alias)
     log = append_log(quality.quality_run(counts, stamp), f"{core_folder}/dq_results")
 
+    def days(name: str, day: str, start: str, end: str | None) -> DataFrame:
+        return read_days(spark, f"{core_folder}/{name}", day, start, end)
+
     stores = kpi.store_kpi(
         core["dim_location"],
-        core["fact_labour_hourly"],
-        core["fact_sales_item_daypart"],
-        core["fact_ingredient_usage_weekly"],
+        days("fact_labour_hourly", "business_date", *period.labour),
+        days("fact_sales_item_daypart", "business_date", *period.sales),
+        days("fact_ingredient_usage_weekly", "week_start", *kpi.usage_days(period)),
         core["dim_ingredient"],
         period,
     )
@@ -59,6 +66,11 @@ def refresh(
     kpis = write_table(kpi.kpi_input(stores, period), f"{core_folder}/ai_kpi_input")
     prompts = kpi.prompts(kpis, chain, period_label)
     tables = {**core, "dq_results": log, "store_kpi": stores, "ai_kpi_input": kpis, "prompts": prompts}
+    tables["load_manifest"] = write_table(manifest_check(raw, expected_loads), f"{core_folder}/load_manifest")
+    tables["row_counts"] = write_table(row_counts(core), f"{core_folder}/row_counts")
+    months = quality.reconcile_monthly(raw["pos_sales"], core["fact_sales_item_daypart"])
+    tables["reconciliation"] = write_table(months, f"{core_folder}/reconciliation")
+    tables["dq_latest"] = quality.latest_run(log)
     if notes is not None:
         written = kpi.recommendations(prompts, notes, model, stamp)
         tables["ai_recommendations"] = write_table(written, f"{core_folder}/ai_recommendations")

@@ -22,6 +22,8 @@ class Expectations:
     closed_day: str = "12-25"
     wage_floor: str = "17.85"
     weekly_hours_cap: float = 48.0
+    shift_hours: tuple[int, int] = (3, 10)
+    manager_role: str = "Manager"
     story_from: str = "2026-03-02"
     labour_story: tuple[str, int] = ("L06", 1)
     usage_story: tuple[str, str] = ("L05", "I13")
@@ -105,7 +107,7 @@ def sales_checks(core: Mapping[str, DataFrame], known: Expectations) -> list[Dat
         c.reconciled(
             "hourly sales add up to item sales", sales, covers, ["business_date", "location_id", "daypart"], "net_sales", "0.2"
         ),
-        c.row_rules(covers, {"covers wherever there are sales": (F.col("net_sales") > 0) & ~(F.col("covers") > 0)}),
+        c.row_rules(covers, {"covers wherever there are sales": (F.col("net_sales") > 0) & ~F.coalesce(F.col("covers") > 0, F.lit(False))}),
     ]
 
 
@@ -118,7 +120,7 @@ def labour_checks(core: Mapping[str, DataFrame], known: Expectations) -> list[Da
             shifts,
             {
                 "shifts end after they start": ~F.coalesce(in_order, F.lit(False)),
-                "shifts last 3 to 10 hours": ~F.coalesce(F.col("actual_hours").between(3, 10), F.lit(False)),
+                "shifts last 3 to 10 hours": ~F.coalesce(F.col("actual_hours").between(*known.shift_hours), F.lit(False)),
                 "labour cost is hours x wage": ~c.close(cost, F.col("labour_cost"), 0.011),
             },
         ),
@@ -137,7 +139,7 @@ def labour_checks(core: Mapping[str, DataFrame], known: Expectations) -> list[Da
         c.weekly_cap("weekly hours under the cap", shifts, known.weekly_hours_cap),
         c.at_least("wages above the legal minimum", employee, "hourly_wage_2025", known.wage_floor),
         c.smallest_group(
-            "two managers per store and day", shifts.filter("role = 'Manager'"), ["business_date", "location_id"], 2
+            "two managers per store and day", shifts.filter(F.col("role") == known.manager_role), ["business_date", "location_id"], 2
         ),
     ]
 

@@ -116,18 +116,6 @@ FILE_PATTERNS = {
     name: f"*{name}*" if name.startswith("ref_") else f"*{name}_extract*" for name in EXTRACTS
 }
 
-QUALITY_LOG = T.StructType(
-    [
-        T.StructField("run_at", T.TimestampType()),
-        T.StructField("check_id", T.IntegerType()),
-        T.StructField("check_area", T.StringType()),
-        T.StructField("check_name", T.StringType()),
-        T.StructField("issue_count", T.LongType()),
-        T.StructField("rule_type", T.StringType()),
-        T.StructField("status", T.StringType()),
-    ]
-)
-
 
 def text_schema(extract: str) -> T.StructType:
     """Every column as text, bound by position."""

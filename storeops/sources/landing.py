@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeops.fixed_values import EXPECTED_LOADS
 from storeops.sources.tables import literal_rows
 from storeops.schemas import EXTRACTS, FILE_PATTERNS, text_schema
 
@@ -18,13 +19,14 @@ def land_extract(
     extract: str,
     pattern: str | None = None,
     loaded_at: datetime | None = None,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """All files of one extract as an all-text table.
 
     Columns bind by position, the header line is skipped, an empty field is NULL, spaces stay, and
-    gzip is read as is. Gzip files cannot be split: for large loads deliver them in many parts.
-    `multiline` allows line breaks inside quotes, at the price of one task per file.
+    gzip is read as is, also below subfolders. Gzip files cannot be split: for large loads deliver them in
+    many parts. Line breaks inside quotes belong to the field, which makes a file one task; files known to
+    hold none can be read with `multiline` off, and are then split.
     """
     rows = (
         spark.read.schema(text_schema(extract))
@@ -37,6 +39,7 @@ def land_extract(
         .option("ignoreTrailingWhiteSpace", False)
         .option("multiLine", multiline)
         .option("pathGlobFilter", pattern or FILE_PATTERNS[extract])
+        .option("recursiveFileLookup", True)
         .csv(folder)
     )
     return rows.select(
@@ -53,8 +56,9 @@ def land_all(spark: SparkSession, folder: str, loaded_at: datetime | None = None
 
 
 def list_landing_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Path, size and time of the files in the landing folder; contents are not read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    """Path, size and time of the files below the landing folder; contents are not read."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    files = reader.load(folder)
     return files.select("path", F.col("length").alias("size_bytes"), "modificationTime").orderBy("path")
 
 
@@ -69,13 +73,19 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return counts
 
 
-def manifest_check(tables: Mapping[str, DataFrame], expected: Sequence[tuple[str, int]] | DataFrame) -> DataFrame:
-    """Loaded against expected rows per table, OK or CHECK UPLOAD."""
-    loaded = row_counts(tables).withColumnRenamed("row_count", "loaded_rows")
+def manifest_check(
+    tables: Mapping[str, DataFrame], expected: Sequence[tuple[str, int]] | DataFrame = tuple(EXPECTED_LOADS)
+) -> DataFrame:
+    """Loaded against expected rows per table, OK or CHECK UPLOAD.
+
+    Names are matched in lower case. A table that did not load, or that nobody expects, needs a check too.
+    """
+    loaded = row_counts(tables).select(F.lower("table_name").alias("table_name"), F.col("row_count").alias("loaded_rows"))
     if not isinstance(expected, DataFrame):
         expected = literal_rows(loaded.sparkSession, expected, "table_name", "expected_rows")
+    expected = expected.select(F.lower("table_name").alias("table_name"), "expected_rows")
     return (
-        loaded.join(expected, "table_name")
+        loaded.join(expected, "table_name", "full")
         .select(
             "table_name",
             "loaded_rows",

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
-from functools import cache
+from concurrent.futures import Future
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storeops.functions.columns import in_days
+
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# The folder column of tables laid out by month.
+MONTH = "year_month"
+
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], *names: str) -> DataFrame:
     """A short fixed list as a frame whose size the optimizer knows.
@@ -36,20 +41,21 @@ def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFr
     """
     if month_of is None:
         df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    monthly = df.withColumn("year_month", F.date_format(month_of, "yyyy-MM")).hint("rebalance", "year_month")
-    monthly.write.mode("overwrite").partitionBy("year_month").parquet(path)
+    else:
+        monthly = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM")).hint("rebalance", MONTH)
+        monthly.write.mode("overwrite").partitionBy(MONTH).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def read_days(spark: SparkSession, path: str, day: str, start: str, end: str) -> DataFrame:
-    """The rows of a table laid out by month whose `day` lies in a closed range.
+def read_days(spark: SparkSession, path: str, day: str, start: str, end: str | None) -> DataFrame:
+    """The rows of a table laid out by month whose `day` lies in a closed range; `end` may be open.
 
     The month is filtered along with the day, so only the folders of those months are opened.
     """
-    months = F.col("year_month").between(start[:7], end[:7])
-    days = F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-    return spark.read.parquet(path).filter(months & days).drop("year_month")
+    wanted = (F.col(MONTH) >= start[:7]) & in_days(F.col(day), start, end)
+    if end is not None:
+        wanted = wanted & (F.col(MONTH) <= end[:7])
+    return spark.read.parquet(path).filter(wanted).drop(MONTH)
 
 
 def append_log(df: DataFrame, path: str) -> DataFrame:
@@ -76,43 +82,52 @@ def read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out the rows of a table, by keys, when it is stored in fewer pieces than there are cores.
-
-    A gzip file or a file with a single row group is read by one task, which would then do all the
-    work up to the next shuffle alone. Tables in enough pieces, as large ones are, stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="storeops-")
-
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """The cluster's folder for cut lineage; a temporary one only on a local master without a setting."""
-    folder = spark.conf.get(CHECKPOINT_DIR, "")
-    if folder:
-        return folder.rstrip("/")
-    return _local_folder() if spark.sparkContext.master.startswith("local") else None
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder below the one all executors share; it goes when the session ends."""
+    root = spark.conf.get(CHECKPOINT_DIR, "")
+    if not root:
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+    folder = f"{root.rstrip('/')}/storeops-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """An unused path in the shared folder."""
-    folder = shared_folder(spark)
-    if folder is None:
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    return f"{folder}/storeops-{purpose}/{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{purpose}/{uuid.uuid4().hex}"
+
+
+_STAGED: dict[tuple[str, str], Future] = {}
+_LOCK = Lock()
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, key: str, month_of: str | None = None) -> DataFrame:
     """Write a table that several later steps read to the shared folder and read it back.
 
-    The files survive lost executors, are read with column pruning, and carry real size statistics
-    for the joins that follow. Without a shared folder the frame is returned as it is.
+    A key is written once per session; who stages it again gets the written table, also while another
+    thread still writes it. Keys name the source and the table, so one key always means the same rows. The
+    files survive lost executors, are read with column pruning, and carry real size statistics for joins.
     """
-    if shared_folder(df.sparkSession) is None:
-        return df
-    return write_table(df, new_folder(df.sparkSession, "stage"))
+    spark = df.sparkSession
+    with _LOCK:
+        name = (spark.sparkContext.applicationId, key)
+        done = _STAGED.get(name)
+        mine = done is None
+        if mine:
+            done = _STAGED[name] = Future()
+    if mine:
+        try:
+            path = new_folder(spark, "stage")
+            write_table(df, path, month_of)
+            done.set_result(path)
+        except BaseException as error:
+            _STAGED.pop(name, None)
+            done.set_exception(error)
+            raise
+    return spark.read.schema(df.schema).parquet(done.result()).select(*df.columns)
+
+
+def staged_path(spark: SparkSession, key: str) -> str:
+    """Where a table staged in this session lies."""
+    return _STAGED[spark.sparkContext.applicationId, key].result()

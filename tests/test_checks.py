@@ -151,3 +151,12 @@ def test_report_shows_failures_first(frame):
     rows = frame("v int", (1,), (-1,))
     out = checks.report([checks.row_rules(rows, {"b": F.col("v") > 5, "a": F.col("v") < 0})]).collect()
     assert [r.check_name for r in out] == ["a", "b"]
+
+
+def test_rain_means_leave_out_rows_without_covers(frame):
+    covers = frame(
+        "business_date date, covers bigint",
+        (MONDAY, 10), (MONDAY, None), (MONDAY + timedelta(days=1), 8), (MONDAY + timedelta(days=1), 8),
+    )
+    weather = frame("date date, is_rainy_day int", (MONDAY, 1), (MONDAY + timedelta(days=1), 0))
+    assert result(checks.rainy_days_slower("x", covers, weather)) == (0, "(10.0 vs 8.0)")

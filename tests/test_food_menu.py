@@ -126,6 +126,14 @@ def test_quadrant_thresholds_count_as_reached(frame):
     assert {r.quadrant for r in menu.menu_quadrants(items, sold).collect()} == {"Star"}
 
 
+def test_equal_margins_always_reach_their_mean(frame):
+    """As quotients of doubles, many equal margins would fall below their own mean."""
+    for margin in ("0.10", "0.70", "1.10", "3.30", "7.70", "12.35"):
+        items = frame(MENU, *[(k, k, "x", 1, D("20.00"), D("5.000"), D("0.2500"), D(margin)) for k in "abc"])
+        sold = frame("menu_item_id string, qty_sold bigint", ("a", 3), ("b", 7), ("c", 11))
+        assert {r.quadrant for r in menu.menu_quadrants(items, sold).collect()} <= {"Star", "Puzzle"}
+
+
 def test_quadrants_use_no_single_partition_window(frame):
     items = frame(MENU, ("a", "a", "x", 1, D("20.00"), D("5.000"), D("0.2500"), D("10")))
     sold = frame("menu_item_id string, qty_sold bigint", ("a", 65))

@@ -94,6 +94,36 @@ def test_traffic_and_check(frame, leap_calendar):
     assert (r.sales_growth, r.traffic_growth, r.check_growth) == (pytest.approx(0.32), pytest.approx(0.1), pytest.approx(0.2))
 
 
+def test_a_leap_day_does_not_double_the_year_before(frame, leap_calendar):
+    """28 and 29 February 2024 meet 28 February 2023, which counts once."""
+    days = frame(
+        "business_date date, net_sales decimal(12,2), covers bigint",
+        *[(d, D(100), 10) for d in (date(2023, 2, 28), date(2024, 2, 28), date(2024, 2, 29))],
+    )
+    (r,) = measures.traffic_and_check(days, leap_calendar).collect()
+    assert (r.net_sales, r.net_sales_ly, r.covers, r.covers_ly) == (200, 100, 20, 10)
+    assert (r.sales_growth, r.traffic_growth, r.check_growth) == (1.0, 1.0, 0.0)
+    whole = measures.traffic_days(days.select("business_date", "net_sales"), days.select("business_date", "covers"))
+    assert sorted(whole.select(days.columns).collect()) == sorted(days.collect())
+
+
+def test_cards_keep_every_row_and_work_without_keys(frame):
+    sales = frame(
+        "business_date date, location_id string, net_sales decimal(12,2)",
+        (MONDAY, "L1", D(100)), (MONDAY, None, D(50)), (None, "L1", D(7)),
+    )
+    covers = frame("business_date date, location_id string, covers bigint", (MONDAY, "L1", 10), (MONDAY, None, 5))
+    (r,) = measures.sales_summary(sales, covers).collect()
+    assert (r.net_sales, r.covers, r.avg_check) == (D(157), 15, pytest.approx(157 / 15))
+    by_store = {r.location_id: (r.net_sales, r.covers) for r in measures.sales_summary(sales, covers, ["location_id"]).collect()}
+    assert by_store == {"L1": (D(107), 10), None: (D(50), 5)}
+    usage = frame("location_id string, actual_cost decimal(12,2)", ("L1", D(20)), (None, D(15)))
+    (r,) = measures.food_cost_pct(usage, sales).collect()
+    assert (r.actual_cost, r.net_sales) == (D(35), D(157))
+    shares = {r.location_id: r.food_cost_pct for r in measures.food_cost_pct(usage, sales, ["location_id"]).collect()}
+    assert shares == {"L1": pytest.approx(20 / 107), None: pytest.approx(0.3)}
+
+
 def test_heatmap_leaves_out_closed_hours(frame):
     rows = frame(HOURLY, hour(MONDAY, "10", "100"), hour(MONDAY, "50", "1", at=6), hour(MONDAY + timedelta(days=5), "20", "50"))
     (r,) = measures.labour_heatmap(rows).collect()
@@ -113,12 +143,15 @@ def test_savings_count_only_excess_hours(frame):
     out = {r.location_id: r for r in measures.action_savings(rows, weeks=4).collect()}
     assert (out["L1"].excess_hours, out["L1"].annual_saving) == (pytest.approx(5.0), pytest.approx(5 * 10 * 13))
     assert out["L2"].excess_hours == 0
+    # Without weeks the period runs from the first day to the last, here one day.
+    whole = {r.location_id: r.annual_saving for r in measures.action_savings(rows).collect()}
+    assert whole["L1"] == pytest.approx(5 * 10 * 364)
 
 
-def test_note_lookup_falls_back_to_the_chain(frame):
+def test_note_lookup_shows_the_chain_only_without_a_store(frame):
     notes = frame("location_id string, recommendation_text string", ("ALL", "chain"), ("L1", "one"))
     chosen = frame("id int, location_id string", (1, "L1"), (2, "L7"), (3, None))
-    assert [r.note for r in measures.note_lookup(chosen, notes).orderBy("id").collect()] == ["one", "chain", "chain"]
+    assert [r.note for r in measures.note_lookup(chosen, notes).orderBy("id").collect()] == ["one", None, "chain"]
 
 
 BRIDGE = "week_start date, location_id string, ingredient_id string, theoretical_cost_at_standard decimal(12,2), price_variance decimal(12,2), recorded_waste_cost decimal(12,2), unexplained_variance decimal(12,2), actual_cost decimal(12,2)"

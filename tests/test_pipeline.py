@@ -12,7 +12,7 @@ from storeops.plans.warehouse import Rules, keep_in, published_warehouse
 from storeops.schemas import EXTRACTS
 from storeops.sources import landing
 from storeops.plans.refresh import refresh
-from storeops.sources.tables import append_log, export_csv, literal_rows, read_days, read_export, shared_folder, spread, write_table
+from storeops.sources.tables import append_log, export_csv, literal_rows, read_days, read_export, shared_folder, stage, staged_path, write_table
 
 CSV = {
     "pos_sales": [
@@ -77,12 +77,25 @@ def test_landing_keeps_text_as_it_is(spark, folder):
 def test_landing_files_and_manifest(spark, folder):
     files = landing.list_landing_files(spark, folder)
     assert files.count() == 11 and files.filter("size_bytes <= 0").count() == 0
-    tables = {"POS_SALES": landing.land_extract(spark, folder, "pos_sales"), "REF_MENU": landing.land_extract(spark, folder, "ref_menu")}
-    check = landing.manifest_check(tables, [("POS_SALES", 4), ("REF_MENU", 2)]).collect()
+    tables = {n: landing.land_extract(spark, folder, n) for n in ("pos_sales", "ref_menu", "timeclock")}
+    check = landing.manifest_check(tables, [("POS_SALES", 4), ("REF_MENU", 2), ("WASTE_LOG", 3)]).collect()
     assert [(r.table_name, r.loaded_rows, r.expected_rows, r.status) for r in check] == [
-        ("POS_SALES", 4, 4, "OK"),
-        ("REF_MENU", 1, 2, "CHECK UPLOAD"),
+        ("pos_sales", 4, 4, "OK"),
+        ("ref_menu", 1, 2, "CHECK UPLOAD"),
+        ("timeclock", 3, None, "CHECK UPLOAD"),
+        ("waste_log", None, 3, "CHECK UPLOAD"),
     ]
+    published = landing.manifest_check(tables).collect()
+    assert len(published) == 11 and {r.status for r in published} == {"CHECK UPLOAD"}
+    assert {r.table_name: r.expected_rows for r in published}["pos_sales"] == 554747
+
+
+def test_landing_reads_subfolders_and_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "2026" / "march").mkdir(parents=True)
+    lines = "h," * 10 + 'h\n2026-03-02,KITS,Lunch,M1,"Tomato\nSoup",1,1.00,1.00,0.00,0.00,1.00\n'
+    (tmp_path / "2026" / "march" / "pos_sales_extract_1.csv").write_text(lines)
+    (row,) = landing.land_extract(spark, str(tmp_path), "pos_sales").collect()
+    assert row.menu_item_name == "Tomato\nSoup" and row._source_file == "pos_sales_extract_1.csv"
 
 
 def test_warehouse_rows(warehouse):
@@ -164,7 +177,8 @@ def test_kpi_rows_prompts_and_notes(spark, warehouse):
     texts = kpi.prompts(kpi.kpi_input(stores), "Test Grill", "2026 year to date")
     prompt = {r.location_id: r.prompt for r in texts.collect()}
     assert "the general manager of Kitsilano at Test Grill" in prompt["L02"] and "the VP of Operations" in prompt["ALL"]
-    assert prompt["L02"].split("\n")[1].startswith("Figures (2026 year to date): Labour 28.3%")
+    assert prompt["L02"].split("\n")[0].endswith("on 2026 year to date, using only these figures:")
+    assert prompt["L02"].split("\n")[1].startswith("Labour 28.3%")
     notes = spark.createDataFrame([("L02", "Note A"), ("ALL", "Note B")], "location_id string, recommendation_text string")
     done = kpi.recommendations(texts, notes, "by hand", datetime(2026, 3, 9))
     assert [(r.location_name, r.recommendation_text) for r in kpi.recommendation_list(done).collect()] == [
@@ -206,6 +220,9 @@ def test_refresh_writes_everything_and_keeps_the_log(spark, folder, tmp_path):
     assert tables["fact_sales_item_daypart"].count() == 3
     assert {r.location_id: r.recommendation_text for r in tables["ai_recommendations"].collect()} == {"L02": "It's fine", "ALL": "B"}
     assert tables["ai_kpi_input"].count() == 3
+    assert tables["dq_latest"].count() == 24 and tables["load_manifest"].count() == 11
+    assert {r.table_name: r.row_count for r in tables["row_counts"].collect()}["fact_sales_item_daypart"] == 3
+    assert [r.year_month for r in tables["reconciliation"].collect()] == ["2026-03"]
 
 
 def test_literal_rows_have_a_known_small_size(spark):
@@ -215,25 +232,31 @@ def test_literal_rows_have_a_known_small_size(spark):
     assert "BroadcastHashJoin" in big.join(df, "n")._jdf.queryExecution().executedPlan().toString()
 
 
-def test_spread_only_touches_tables_in_few_pieces(spark):
-    few, many = spark.range(100).coalesce(1), spark.range(0, 100, 1, 64)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
-
-
 class Conf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)
 
 
-class FakeSession:
-    def __init__(self, master, **conf):
-        self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
-        self.sparkContext = type("C", (), {"master": master})()
+def test_a_missing_shared_folder_is_an_error():
+    session = type("S", (), {"conf": Conf()})()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
+def test_a_table_is_staged_once_per_session(spark):
+    frame = spark.range(5).withColumn("x", F.rand())
+    first, second = stage(frame, "test:once"), stage(frame, "test:once")
+    assert sorted(first.collect()) == sorted(second.collect())
+    assert staged_path(spark, "test:once").startswith(shared_folder(spark))
+    assert spark.sparkContext.applicationId in shared_folder(spark)
 
 
-def test_the_shared_folder_is_the_clusters_or_local_only():
-    assert shared_folder(FakeSession("yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
-    assert shared_folder(FakeSession("yarn")) is None
-    local = shared_folder(FakeSession("local[4]"))
-    assert local and shared_folder(FakeSession("local[4]")) == local
+def test_reading_days_opens_only_their_months(spark, tmp_path):
+    days = spark.sql("SELECT explode(sequence(date'2025-01-01', date'2025-12-31')) AS d")
+    write_table(days, str(tmp_path / "t"), "d")
+    some = read_days(spark, str(tmp_path / "t"), "d", "2025-03-05", "2025-04-02")
+    assert some.count() == 29
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year_month" in plan
+    assert len(some.inputFiles()) == 2 or "2025-03" in plan
+    assert read_days(spark, str(tmp_path / "t"), "d", "2025-12-30", None).count() == 2
