@@ -42,7 +42,7 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 #: Window weights are whole numbers: c log2 c in units of 1e-9 bit, so sums do not depend on their order.
 _UNIT = 10**9
-_WEIGHTS = [0] + [round(c * math.log2(c) * _UNIT) for c in range(1, WINDOW + 1)]
+_WEIGHTS = [0] + [round(c * math.log2(c) * _UNIT) for c in range(1, WINDOW + 2)]
 _FIRST, _LAST = ord("+"), ord("z")
 
 SPAN = "struct<start:int,end:int,kind:int,value:string>"
