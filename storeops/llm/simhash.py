@@ -29,7 +29,7 @@ def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
     votes = np.zeros(64, dtype=np.int64)
     for start in range(0, count, BLOCK):
         end = min(count, start + BLOCK)
-        rows = [words[i:end + i] for i in range(start, start + width)] if len(words) >= width else [words]
+        rows = [words[start + k : end + k] for k in range(width)]
         joined = map(b" ".join, zip(*rows)) if len(words) >= width else [b" ".join(words)]
         hashes = np.array([xxhash.xxh64_intdigest(x, 42) for x in joined], dtype="<u8")
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
