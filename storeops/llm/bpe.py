@@ -167,6 +167,8 @@ class Codec:
         for piece, rank in ranks.items():
             codec.tokens[rank] = piece
         codec.lengths = np.array([len(t) for t in codec.tokens], dtype=np.int64)
+        codec.begins = np.cumsum(codec.lengths) - codec.lengths
+        codec.bytes = np.frombuffer(b"".join(codec.tokens), dtype=np.uint8)
         codec.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         pairs = sorted(
             (ranks[piece[:i]] << 32 | ranks[piece[i:]], rank)
@@ -332,8 +334,13 @@ class Codec:
         """Byte offsets in the text at which the tokens end."""
         return np.cumsum(self.lengths[ids])
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> bytes:
+        """The bytes of tokens, each put where its offset says."""
+        if not len(ids):
+            return b""
+        size = self.lengths[ids]
+        source = np.repeat(self.begins[ids] - (ends.astype(np.int64) - size), size) + np.arange(ends[-1])
+        return self.bytes[source].tobytes()
 
 
 def _shared(spark: SparkSession, ranks_path: str):
@@ -384,23 +391,14 @@ def decode(encoded: DataFrame, keep: list[str], ids: str = "ids", ends: str = "e
 
     def run(batches):
         codec = Codec.from_state(files.value)
-        pool = np.frombuffer(b"".join(codec.tokens), dtype=np.uint8)
-        begins = np.cumsum(codec.lengths) - codec.lengths
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE):
                 piece = batch.slice(start, SLICE)
                 lists, stops = piece.column(width), piece.column(width + 1)
                 made = []
                 for row in range(piece.num_rows):
-                    numbers = lists[row].values
-                    if numbers is None or not len(numbers):
-                        made.append(b"")
-                        continue
-                    tokens = numbers.to_numpy(zero_copy_only=False)
-                    end = stops[row].values.to_numpy(zero_copy_only=False).astype(np.int64)
-                    size = codec.lengths[tokens]
-                    source = np.repeat(begins[tokens] - (end - size), size) + np.arange(end[-1])
-                    made.append(pool[source].tobytes())
+                    numbers, end = lists[row].values, stops[row].values
+                    made.append(b"" if numbers is None else codec.decode(numbers.to_numpy(), end.to_numpy()))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(i) for i in range(width)] + [pa.array(made, type=pa.binary())],
                     names=[*[piece.schema.field(i).name for i in range(width)], "decoded"],
@@ -409,17 +407,26 @@ def decode(encoded: DataFrame, keep: list[str], ids: str = "ids", ends: str = "e
     return frame.mapInArrow(run, out)
 
 
-def encode_checked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids, ends, and `exact`: whether the decoded bytes are the text's (null: empty)."""
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), digest.alias("digest"))
-    return decode(encode(frame, ["doc_id", "digest"]), ["doc_id", "digest", "ids", "ends"]).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        "ends",
-        (F.sha2("decoded", 256) == F.col("digest")).alias("exact"),
-    )
+def encode_checked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids, ends, and `exact`: whether the decoded bytes are the text's (null: empty).
+
+    Encodes and decodes in one pass, so the ids make no second way to the Python workers.
+    """
+    files = _shared(docs.sparkSession, ranks_path or default_ranks())
+
+    def worker():
+        codec = Codec.from_state(files.value)
+
+        def run(texts: list[bytes]) -> list:
+            ids = codec.encode([t.decode("utf-8", "replace") for t in texts])
+            ends = [codec.ends(i) for i in ids]
+            exact = [codec.decode(i, e) == t for i, e, t in zip(ids, ends, texts)]
+            return [[len(i) for i in ids], _numbers(ids, np.int32), _numbers(ends, np.int32), exact]
+
+        return run
+
+    frame = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return map_texts(frame, ["doc_id"], "n_tokens long, ids array<int>, ends array<int>, exact boolean", worker)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
