@@ -325,6 +325,37 @@ def copies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return kinds.agg(zero_if_null(F.sum("n")).alias("rows"), F.count("*").alias("kinds"))
 
 
+def defect_profile(df: DataFrame, cols: Sequence[str], defects: Mapping[str, Column], spelled: str) -> DataFrame:
+    """Rows, distinct rows, rows with each defect and spellings of a column, as one row from one pass.
+
+    Equal rows are counted first, so copies cost nothing beyond.
+    """
+    kinds = df.groupBy(*cols).agg(F.count("*").alias("n"))
+    return kinds.agg(
+        zero_if_null(F.sum("n")).alias("rows"),
+        F.count("*").alias("kinds"),
+        *[zero_if_null(F.sum(F.col("n") * flag(found))).alias(name) for name, found in defects.items()],
+        F.count_distinct(spelled).alias("spellings"),
+    )
+
+
+def found_in(profile: DataFrame, name: str, count: str, least: int = 0, unit: str = "") -> DataFrame:
+    """A defect of a profile occurs more often than `least`."""
+    return verdict(profile, name, F.col(count) > least, sentence("({n}{unit})", n=F.col(count), unit=F.lit(unit)))
+
+
+def share_of_rows(profile: DataFrame, name: str, count: str, limit: float) -> DataFrame:
+    share = ratio(F.col(count), F.col("rows"))
+    return verdict(profile, name, share > limit, sentence("({r})", r=number_text(share, 3)))
+
+
+def profile_of_sales(pos: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The defects that raw sales are known to hold."""
+    defects = {"text_dates": F.col("business_date").rlike("[A-Za-z]"), "missing_net": F.col("net_sales").isNull()}
+    profile = defect_profile(pos, cols, defects, "store")
+    return profile.withColumn("copies", F.col("rows") - F.col("kinds"))
+
+
 def has_copies(name: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     found = copies(df, cols)
     n = F.col("rows") - F.col("kinds")
@@ -355,7 +386,11 @@ def distinct_above(name: str, df: DataFrame, col: str, limit: int) -> DataFrame:
     return verdict(n, name, F.col("n") > limit, sentence("({n} distinct)", n=F.col("n")))
 
 
+def same_count(both: DataFrame, name: str) -> DataFrame:
+    """Two counts a and b are the same."""
+    return verdict(both, name, F.col("a") == F.col("b"), sentence("({a} vs {b})", a=F.col("a"), b=F.col("b")))
+
+
 def dedup_recovers(name: str, raw: DataFrame, cols: Sequence[str], clean: DataFrame) -> DataFrame:
     """Distinct raw rows are as many as clean rows."""
-    both = side_by_side(copies(raw, cols), F.max("kinds"), clean, F.count("*"))
-    return verdict(both, name, F.col("a") == F.col("b"), sentence("({a} vs {b})", a=F.col("a"), b=F.col("b")))
+    return same_count(side_by_side(copies(raw, cols), F.max("kinds"), clean, F.count("*")), name)

@@ -601,16 +601,16 @@ SALES_COLUMNS = ", ".join(EXTRACTS["pos_sales"])
     ),
 )
 def _(x: Extracts) -> DataFrame:
-    cols = list(EXTRACTS["pos_sales"])
-    sales = x.pos_sales
+    profile = stage(checks.profile_of_sales(x.pos_sales, list(EXTRACTS["pos_sales"])), x.key("sales_profile"))
+    kept = checks.side_by_side(profile, F.max("kinds"), x.lazy_warehouse.fact_sales_item_daypart, F.count("*"))
     return union(
-        checks.has_copies("copies", sales, cols),
-        checks.share_above("text dates", sales, F.col("business_date").rlike("[A-Za-z]"), 0.03),
-        checks.defects_present(sales, {"missing net": F.col("net_sales").isNull()}),
-        checks.distinct_above("store spellings", sales, "store", 10),
+        checks.found_in(profile, "copies", "copies"),
+        checks.share_of_rows(profile, "text dates", "text_dates", 0.03),
+        checks.found_in(profile, "missing net", "missing_net"),
+        checks.found_in(profile, "store spellings", "spellings", 10, " distinct"),
         checks.defects_present(x.purchasing, {"pounds": F.col("unit") == "lb"}),
         checks.defects_present(x.timeclock, {"missing ends": F.col("actual_end").isNull()}),
-        checks.dedup_recovers("copies removed", sales, cols, x.lazy_warehouse.fact_sales_item_daypart),
+        checks.same_count(kept, "copies removed"),
     )
 
 
@@ -901,4 +901,5 @@ def _(x: Extracts) -> DataFrame:
     tables = w.build_all()
     prices = stage(weekly_prices(w), x.key("prices"))
     targets = measures.monthly_targets(w.fact_sales_item_daypart)
-    return validation_suite(raw, tables, prices, weather(x), targets, BENCH_EXPECTATIONS)
+    hold = lambda df: stage(df, x.key("sales_profile"))
+    return validation_suite(raw, tables, prices, weather(x), targets, BENCH_EXPECTATIONS, hold)

@@ -48,7 +48,10 @@ def refresh(
     warehouse = published_warehouse(spark, raw, rules, keep_in(core_folder))
     core = warehouse.build_all()
 
-    counts = quality.quality_counts(raw, core, warehouse.store_alias, warehouse.role_alias)
+    def keep_profile(name: str, df: DataFrame) -> DataFrame:
+        return write_table(df, f"{core_folder}/profiles/{name}")
+
+    counts = quality.quality_counts(raw, core, warehouse.store_alias, warehouse.role_alias, keep_profile)
     log = append_log(quality.quality_run(counts, stamp), f"{core_folder}/dq_results")
 
     def days(name: str, day: str, start: str, end: str | None) -> DataFrame:

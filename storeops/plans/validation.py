@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -232,17 +232,20 @@ def story_checks(
     ]
 
 
-def raw_checks(raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame]) -> list[DataFrame]:
-    pos = raw["pos_sales"]
-    cols = list(EXTRACTS["pos_sales"])
+def raw_checks(
+    raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], hold: Callable[[DataFrame], DataFrame]
+) -> list[DataFrame]:
+    profile = hold(c.profile_of_sales(raw["pos_sales"], list(EXTRACTS["pos_sales"])))
+    clean = core["fact_sales_item_daypart"]
+    kept = c.side_by_side(profile, F.max("kinds"), clean, F.count("*"))
     return [
-        c.has_copies("raw sales hold copies", pos, cols),
-        c.share_above("raw sales hold text dates", pos, F.col("business_date").rlike("[A-Za-z]"), 0.03),
-        c.defects_present(pos, {"raw sales miss net values": F.col("net_sales").isNull()}),
-        c.distinct_above("raw sales spell stores in many ways", pos, "store", 10),
+        c.found_in(profile, "raw sales hold copies", "copies"),
+        c.share_of_rows(profile, "raw sales hold text dates", "text_dates", 0.03),
+        c.found_in(profile, "raw sales miss net values", "missing_net"),
+        c.found_in(profile, "raw sales spell stores in many ways", "spellings", 10, " distinct"),
         c.defects_present(raw["purchasing"], {"raw purchases hold pounds": F.col("unit") == "lb"}),
         c.defects_present(raw["timeclock"], {"raw timeclock misses ends": F.col("actual_end").isNull()}),
-        c.dedup_recovers("raw sales without copies are the clean rows", pos, cols, core["fact_sales_item_daypart"]),
+        c.same_count(kept, "raw sales without copies are the clean rows"),
     ]
 
 
@@ -253,11 +256,13 @@ def validation_suite(
     weather: DataFrame,
     targets: DataFrame,
     known: Expectations = Expectations(),
+    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """All 74 checks, failures first.
 
     `prices` has week_start, ingredient_id, market_unit_cost; `weather` date, is_rainy_day; `targets`
-    year_month, location_id. Every table is read by several checks: pass written tables.
+    year_month, location_id. Every table is read by several checks: pass written tables. `hold` writes the
+    profile of the raw sales, from which five checks are read.
     """
     return c.report(
         key_checks(core, prices, targets)
@@ -266,5 +271,5 @@ def validation_suite(
         + labour_checks(core, known)
         + inventory_checks(core, prices)
         + story_checks(core, prices, weather, known)
-        + raw_checks(raw, core)
+        + raw_checks(raw, core, hold)
     )

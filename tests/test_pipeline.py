@@ -223,6 +223,9 @@ def test_refresh_writes_everything_and_keeps_the_log(spark, folder, tmp_path):
     assert tables["dq_latest"].count() == 24 and tables["load_manifest"].count() == 11
     assert {r.table_name: r.row_count for r in tables["row_counts"].collect()}["fact_sales_item_daypart"] == 3
     assert [r.year_month for r in tables["reconciliation"].collect()] == ["2026-03"]
+    raw = {name: spark.read.parquet(f"{tmp_path}/core/raw_{name}") for name in quality.STORE_EXTRACTS}
+    for name, profile in quality.profiles(raw, tables).items():
+        assert profile._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1, name
 
 
 def test_literal_rows_have_a_known_small_size(spark):
