@@ -11,7 +11,7 @@ from storeops.llm.decontaminate import op7_decontaminate
 from storeops.llm.licences import op10_licences
 from storeops.llm.minhash import op2_minhash
 from storeops.llm.quality import op9_quality
-from storeops.llm.secrets import op5_secrets
+from storeops.llm.secrets import OP5_SQL, op5_secrets
 from storeops.llm.simhash import op6_simhash
 from storeops.llm.tokencount import op3_token_counts
 from storeops.llm.toxicity import op4_toxicity
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licences": op10_licences,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL}

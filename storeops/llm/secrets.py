@@ -243,3 +243,55 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *map(count, KINDS[:3]), F.sha2(digest(F.col("base")), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans")
     )
+
+
+def twin() -> str:
+    """The same rows in DuckDB SQL: every window counted anew, touching ones joined as islands."""
+
+    def quoted(pattern: str) -> str:
+        return "'" + pattern.replace("'", "''") + "'"
+
+    def hits(kind: int, pattern: str, group: int = 0, least: int = 0) -> str:
+        p = quoted(pattern)
+        return f"""SELECT doc_id, {kind} AS kind, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, inside
+FROM (SELECT doc_id, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS hit, unnest(inner_parts) AS inside, unnest(gaps[1:len(found)]) AS gap
+      FROM (SELECT doc_id, regexp_extract_all(t, {p}) AS found, regexp_extract_all(t, {p}, {group}) AS inner_parts,
+                   string_split_regex(t, {p}) AS gaps FROM d WHERE regexp_matches(t, {p})) parts) m
+QUALIFY length(inside) >= {least}"""
+
+    most = " ".join(
+        f"WHEN regexp_matches(hit, {quoted(p)}) THEN {int((math.log2(WINDOW) - bits) * (WINDOW * _UNIT)) if bits < 90 else -1}"
+        for _, p, bits in CLASSES
+    )
+    harmless = " OR ".join(f"regexp_matches(hit, {quoted(p)})" for p in ALLOWED)
+    names = ", ".join(quoted(k) for k in KINDS)
+
+    def told(table: str) -> str:
+        return f"string_agg(([{names}])[kind + 1] || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (SELECT doc_id, kind, CAST(stop - length(hit) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM (
+{hits(0, ASSIGN, 2, ASSIGN_MIN)} UNION ALL {hits(1, ACCESS)} UNION ALL {hits(2, HEX)}) b),
+candidates AS (SELECT *, CASE {most} ELSE -1 END AS most FROM ({hits(9, CANDIDATE)}) c WHERE NOT ({harmless})),
+windows AS (SELECT doc_id, stop - length(hit) AS origin, i, most, substr(hit, i + 1, {WINDOW}) AS part
+            FROM (SELECT *, unnest(range(0, length(hit) - {WINDOW - 1})) AS i FROM candidates WHERE most >= 0) w),
+hot AS (SELECT doc_id, origin, i FROM windows WHERE list_sum([({_WEIGHTS[: WINDOW + 1]})[1 + length(part) - length(replace(part, c, ''))]
+        FOR c IN list_distinct(string_split(part, ''))]) <= most),
+islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, origin ORDER BY i) AS island FROM (
+            SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id, origin ORDER BY i) + {WINDOW} THEN 0 ELSE 1 END AS fresh FROM hot) h),
+more AS (SELECT doc_id, {KINDS.index('entropy')} AS kind, CAST(origin + min(i) AS BIGINT) AS start, CAST(origin + max(i) + {WINDOW} AS BIGINT) AS stop
+         FROM islands GROUP BY doc_id, origin, island),
+spans AS (SELECT * FROM base UNION ALL SELECT * FROM more m WHERE NOT EXISTS (
+          SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start <= m.start AND m.stop <= b.stop)),
+b AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+             {told('base')} AS told FROM base GROUP BY doc_id),
+s AS (SELECT doc_id, {told('spans')} AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(told, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+#: Holds for tables in which each doc_id has one row, as the given ones.
+OP5_SQL = twin()

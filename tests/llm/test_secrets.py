@@ -5,6 +5,7 @@ import re
 
 import duckdb
 
+from compare import differences, duck
 from conftest import sha
 from storeops.llm import secrets as s
 
@@ -83,6 +84,15 @@ def test_query(spark):
         assert (r.spans, r.base_sha256) == (spans, sha(spelled(known)))
 
 
+def test_twin(spark, docs_of, tmp_path):
+    docs_of(*HARD).write.parquet(str(tmp_path / "documents.parquet"))
+    for folder in (SF, str(tmp_path)):
+        con = duck(SF)
+        source = f"{folder}/documents.parquet" + ("" if folder == SF else "/*.parquet")
+        con.execute(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{source}'")
+        assert differences(spark, con, folder, s.op5_secrets, s.OP5_SQL) == []
+
+
 def test_redaction(docs_of, awkward, clash, empty):
     docs = docs_of(HARD[0], "clean", None, 'a token = "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae" b')
     out = {r.doc_id: r for r in s.redact(docs).collect()}
