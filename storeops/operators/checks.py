@@ -173,7 +173,8 @@ def weekly_cap(name: str, shifts: DataFrame, cap: float) -> DataFrame:
     """Hours per employee and week stay under the cap; mean, 95th percentile and maximum are shown.
 
     The percentile is exact. It runs on how often each total occurs: totals have two decimals, so
-    there are at most some 17,000 of them however many employees there are.
+    there are at most some 17,000 of them however many employees there are, and one more a week if shifts
+    lack their employee.
     """
     weeks = shifts.groupBy("employee_id", monday_of(F.col("business_date")).alias("week")).agg(
         F.sum("actual_hours").alias("hours")

@@ -12,8 +12,11 @@ BRIDGE_PARTS = ["theoretical_cost_at_standard", "price_variance", "recorded_wast
 
 
 def exact(col: Column) -> Column:
-    """Measured quantities as decimals, so that sums do not depend on the order of the rows."""
-    return col.try_cast("decimal(18,6)")
+    """Measured quantities as decimals, so that sums do not depend on the order of the rows.
+
+    Up to 22 digits before the point; NaN and what is wider still become NULL.
+    """
+    return col.try_cast("decimal(28,6)")
 
 
 def theoretical_usage(sales: DataFrame, recipe: DataFrame) -> DataFrame:
