@@ -72,27 +72,38 @@ def nnpu(
     return weights[:-1], float(weights[-1])
 
 
-def learn(sample: list[tuple[bool, list[int]]], prior: float) -> ToxicityModel:
-    """A model of the sample's documents, each with a mark and its features."""
-    if not sample or not any(p for p, _ in sample):
+def telling(found: DataFrame, n_pos: int, n_unl: int) -> DataFrame:
+    """(feature) of those in LEAST_DOCS documents or more whose shares differ by LEAST_Z standard errors."""
+    held = found.select("mark", F.explode("found").alias("feature"))
+    counts = held.groupBy("feature").agg(
+        F.sum(F.col("mark").cast("int")).alias("in_pos"), F.sum((~F.col("mark")).cast("int")).alias("in_unl")
+    )
+    share = (F.col("in_pos") + F.col("in_unl")) / (n_pos + n_unl)
+    error = F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl)) + 1e-12
+    apart = F.abs(F.col("in_pos") / n_pos - F.col("in_unl") / n_unl) >= LEAST_Z * error
+    return counts.where(apart & (F.col("in_pos") + F.col("in_unl") >= LEAST_DOCS)).select("feature")
+
+
+def learn(found: DataFrame, prior: float) -> ToxicityModel:
+    """A model of the sample's documents: (row, doc_id, mark, found), `found` their distinct features.
+
+    Features are counted and screened in Spark; only documents' marks and which screened features they hold
+    come to the driver. Documents are ordered by id, so equal samples give equal models.
+    """
+    docs = found.select("row", "doc_id", "mark").orderBy("doc_id", "mark", "row").toArrow()
+    positive, ids = docs["mark"].to_numpy().astype(bool), docs["row"].to_numpy()
+    n_pos = int(positive.sum())
+    if not n_pos:
         return ToxicityModel({}, float(np.log(prior / (1 - prior))))
-    positive = np.array([p for p, _ in sample])
-    sizes = [len(f) for _, f in sample]
-    rows = np.repeat(np.arange(len(sample)), sizes)
-    names, columns = np.unique(np.concatenate([np.asarray(f, dtype=np.int64) for _, f in sample]), return_inverse=True)
-    n_pos, n_unl = positive.sum(), max(1, (~positive).sum())
-    in_pos = np.bincount(columns, positive[rows], minlength=len(names))
-    in_unl = np.bincount(columns, ~positive[rows], minlength=len(names))
-    share = (in_pos + in_unl) / (n_pos + n_unl)
-    error = np.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_unl)) + 1e-12
-    telling = np.abs(in_pos / n_pos - in_unl / n_unl) >= LEAST_Z * error
-    common = np.flatnonzero(telling & (in_pos + in_unl >= LEAST_DOCS))
-    place = np.full(len(names), -1)
-    place[common] = np.arange(len(common))
-    columns = place[columns]
-    weights, offset = nnpu(rows[columns >= 0], columns[columns >= 0], positive, len(common), prior)
-    kept = np.flatnonzero(np.abs(weights) > 1e-4)
-    return ToxicityModel(dict(zip(names[common[kept]].tolist(), weights[kept].tolist())), offset)
+    kept = written(telling(found, n_pos, max(1, len(positive) - n_pos)), "features")
+    held = found.select("row", F.explode("found").alias("feature")).join(kept, "feature").toArrow()
+    names, columns = np.unique(held["feature"].to_numpy(), return_inverse=True)
+    place = np.argsort(ids)
+    rows = place[np.searchsorted(ids[place], held["row"].to_numpy())]
+    order = np.lexsort((columns, rows))
+    weights, offset = nnpu(rows[order], columns[order], positive, len(names), prior)
+    heavy = np.flatnonzero(np.abs(weights) > 1e-4)
+    return ToxicityModel(dict(zip(names[heavy].tolist(), weights[heavy].tolist())), offset)
 
 
 def fit(
@@ -101,9 +112,8 @@ def fit(
     """A model from at most POSITIVES confirmed toxic documents and UNLABELLED others, none held out.
 
     The unlabelled ones are drawn from all documents, whatever their label. `prior` is the toxic share of
-    all text; by default the share among the labels that may be learned from. The sample's ids are joined
-    with the documents; only features of the sample come to the driver. Without toxic labels every text gets
-    the prior.
+    all text; by default the share among the labels that may be learned from. Only the sample's ids are
+    joined with the documents. Without toxic labels every text gets the prior.
     """
     free = F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     marks = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("y")).where(free & F.col("y").isin(0, 1))
@@ -120,12 +130,10 @@ def fit(
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(chosen, "doc_id")
 
     def worker():
-        return lambda batch: [[features(t) for t in batch]]
+        return lambda batch: [[sorted(set(features(t))) for t in batch]]
 
     found = map_texts(texts, ["doc_id", "mark"], "found array<long>", worker)
-    rows = found.collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["mark"], len(r["found"])))
-    return learn([(r["mark"], r["found"]) for r in rows], prior)
+    return learn(written(found.withColumn("row", F.monotonically_increasing_id()), "toxicity-sample"), prior)
 
 
 def score(docs: DataFrame, keep: list[str], model: ToxicityModel, text: str = "text") -> DataFrame:
