@@ -176,7 +176,7 @@ def test_kpi_rows_prompts_and_notes(spark, warehouse):
     assert "Worst store-day for labour: Kitsilano on Mon at 43.2%." in rows["ALL"].kpi_summary
     texts = kpi.prompts(kpi.kpi_input(stores), "Test Grill", "2026 year to date")
     prompt = {r.location_id: r.prompt for r in texts.collect()}
-    assert "the general manager of Kitsilano at Test Grill" in prompt["L02"] and "the VP of Operations" in prompt["ALL"]
+    assert "the general manager of Kitsilano of Test Grill" in prompt["L02"] and "the VP of Operations" in prompt["ALL"]
     assert prompt["L02"].split("\n")[0].endswith("on 2026 year to date, using only these figures:")
     assert prompt["L02"].split("\n")[1].startswith("Labour 28.3%")
     notes = spark.createDataFrame([("L02", "Note A"), ("ALL", "Note B")], "location_id string, recommendation_text string")
