@@ -50,7 +50,7 @@ IDENTIFIERS = (
     ("lgpl", WEAK), ("epl", WEAK), ("cddl", WEAK), ("agpl", STRONG), ("gpl", STRONG),
 )
 TAG = "spdx-license-identifier:"
-#: Characters of an expression that are read at most; real ones are far shorter, and a tag ends with its line.
+#: An expression ends with its line.
 EXPRESSION = re.compile(rb"[^\r\n]*")
 TOKEN = re.compile(r"[a-z0-9][a-z0-9.+:-]*|[()]")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm.common import table
+from storeops.llm.common import let, table
 
 ASSIGN = (
     r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
@@ -49,11 +49,6 @@ SPAN = "struct<start:int,end:int,kind:int,value:string>"
 SPANS = f"array<{SPAN}>"
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """`body` of a value that is worked out once, however often the body names it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """The leftmost non-overlapping matches with places in code points, if group `group` has `least` characters.
 

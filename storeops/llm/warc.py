@@ -12,9 +12,10 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from storeops.llm.common import table, work_folder, written
 
@@ -192,15 +193,19 @@ class _Split:
         return [*self.found, [self.file, self.block, self.at, *[None] * 11]]
 
 
+def segments(spark: SparkSession, path: str) -> DataFrame:
+    """(file, block, value): the bytes between magics, in order within each split of each file."""
+    place = F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")
+    lines = spark.read.option("lineSep", MAGIC.decode()).text(path)
+    return lines.select(*place, F.col("value").cast("binary").alias("value"))
+
+
 def candidates(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """What each split of the archives can tell by itself (CANDIDATE), offsets counted within the split.
 
     Spark's text reader cuts the files at each magic, so a split has the segments that begin in it, in order.
     """
-    lines = spark.read.option("lineSep", MAGIC.decode()).text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
-    from pyspark.sql.pandas.types import to_arrow_schema
-
+    lines = segments(spark, path)
     arrow = to_arrow_schema(CANDIDATE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +232,6 @@ def candidates(spark: SparkSession, path: str, payload: bool = False) -> DataFra
 
 def placed(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates with offsets in their file, and (file, block, begin, bytes) of the splits."""
-    from pyspark.sql import Window
-
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = found.where("bytes is not null").select("file", "block", "bytes")
     splits = splits.withColumn("begin", F.coalesce(F.sum("bytes").over(before), F.lit(0)))
@@ -307,13 +310,10 @@ def _assembled(spark: SparkSession, path: str, across: DataFrame, splits: DataFr
 
     At most one real record does so at the end of each split. Only the splits concerned are read for it.
     """
-    lines = spark.read.option("lineSep", MAGIC.decode()).text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+    lines = segments(spark, path)
     schema = T.StructType(
         [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("from", T.LongType()), T.StructField("data", T.BinaryType())]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
