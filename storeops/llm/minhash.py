@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storeops.llm.common import table, written
-from storeops.llm.secrets import let
+from storeops.llm.common import let, table, written
 
 #: Words of a shingle, bins, and low bits kept of each bin.
 SHINGLE, BINS, BITS = 5, 256, 4
@@ -130,8 +130,12 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     return docs.select(*keep, signature(F.col(text)).alias("signature"))
 
 
-def with_next(docs: DataFrame, values: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, `values`, and the same as `next_` columns of the document that follows in descending doc_id.
+def with_next(
+    docs: DataFrame, values: list[str], derived: Mapping[str, Column] = {}, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """doc_id, text, `values`, `derived`, and the same as `next_` columns of the document that follows in descending doc_id.
+
+    `derived` are expressions of `text`, worked out once per row before the shuffle.
 
     After the last comes the first; a single document follows itself. Null ids come last; rows that share an
     id are ordered by a hash of their text. Ids are cut into ranges of about NEIGHBOURS rows, each sorted by
@@ -156,15 +160,17 @@ def with_next(docs: DataFrame, values: list[str], doc_id: str = "doc_id", text:
     columns = ["doc_id", "text", "tie", *values, "bucket"]
     copies = copies.select(*columns, F.lit(True).alias("copy"))  # a row that repeats gives equal copies, of which the first counts
     both = rows.withColumn("bucket", bucket.cast("long")).select(*columns, F.lit(False).alias("copy")).union(copies)
+    both = both.withColumns(dict(derived))
     line = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), "tie")
-    following = F.lead(F.struct("text", *values)).over(line)
-    both = both.withColumn("_next", following).where("not copy")
-    return both.select("doc_id", "text", *values, *[F.col(f"_next.{v}").alias(f"next_{v}") for v in ["text", *values]])
+    shown = ["text", *values, *derived]
+    # A lead per column: a lead of a struct would carry all of them twice through the shuffle.
+    following = {f"next_{v}": F.lead(v).over(line) for v in shown}
+    return both.withColumns(following).where("not copy").select("doc_id", *shown, *following)
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(docs.withColumn("signature", signature(F.col("text"))), ["signature"])
+    pairs = with_next(docs, [], {"signature": signature(F.col("text"))})
     size = F.length("text")
     cut = F.floor(size / 3).cast("int")
     pairs = pairs.withColumn("edited", F.concat(F.substring("text", F.lit(1), size - cut), F.substring("next_text", F.lit(1), cut)))
