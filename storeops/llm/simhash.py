@@ -1,4 +1,7 @@
-"""Near duplicates by SimHash: segment popcounts, a grid range join under Manhattan distance, exact checks."""
+"""Near duplicates by SimHash: segment popcounts, a grid range join under Manhattan distance, exact checks.
+
+The pipeline's stage also links texts by the exact likeness of their shingle sets.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from storeops.llm.common import ASCII_LOWER, map_texts, table, written
 from storeops.llm.graph import components
 
-#: Words of a shingle; differing bits that still link.
+#: The query: words of a shingle; differing bits that still link.
 SHINGLE, RADIUS = 3, 2
 #: The 64 bits are cut into segments of four; each holds 0 to 4 set bits, so a cell is a number in base 5.
 SEGMENTS, SEGMENT_BITS = 16, 4
@@ -18,6 +21,11 @@ SEGMENTS, SEGMENT_BITS = 16, 4
 CROWDED = 64
 #: Shingles whose bits are counted at a time, which bounds memory for very long texts.
 BLOCK = 1 << 15
+#: The pipeline's stage: words of a shingle, and the Jaccard likeness of shingle sets that links, as a fraction.
+STAGE_SHINGLE = 5
+LIKE, OF = 4, 5
+#: About so many texts tell which shingles are common, those that COMMON of them hold.
+SAMPLE, COMMON = 4096, 3
 
 
 def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
@@ -46,6 +54,63 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", width: in
     return map_texts(docs, keep, "fp long", worker, text)
 
 
+def shingle_set(text: bytes, width: int = STAGE_SHINGLE) -> np.ndarray:
+    """The distinct shingle hashes in ascending order; a shorter text is one shingle, one without words has none."""
+    words = text.translate(ASCII_LOWER).split()
+    if not words:
+        return np.zeros(0, dtype=np.int64)
+    rows = zip(*[words[k:] for k in range(width)]) if len(words) >= width else [words]
+    hashes = (xxhash.xxh64_intdigest(b" ".join(row), 42) for row in rows)
+    return np.unique(np.fromiter(hashes, dtype=np.uint64).view(np.int64))
+
+
+def rarest(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles, common ones (`keys`, ascending, and their `counts`) ordered last.
+
+    Two sets of likeness LIKE / OF or more share one of these, whatever the order is, as long as all sets use
+    the same one: each holds all but OF - LIKE of OF parts of the other.
+    """
+    size = len(shingles)
+    weight = np.zeros(size, dtype=np.int64)
+    if len(keys) and size:
+        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
+        weight = np.where(keys[at] == shingles, counts[at], 0)
+    order = np.lexsort((shingles, weight))
+    return shingles[order[: size - -(-LIKE * size // OF) + 1 if size else 0]]
+
+
+def common_shingles(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many distinct texts of a sample hold, ascending, and their counts.
+
+    They only set the order in which shingles are compared, so no pair depends on the sample.
+    """
+    part = max(1, docs.count() // SAMPLE)
+    sample = docs.select(F.col(text).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(part)) == 0).distinct()
+
+    def worker():
+        return lambda texts: [[shingle_set(t) for t in texts]]
+
+    sets = map_texts(sample, [], "shingles array<long>", worker)
+    counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    rows = sorted(tuple(r) for r in counts.where(F.col("n") >= COMMON).collect())
+    return np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+
+
+def stage_prints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """`keep`, the fingerprint `fp`, and of the set of shingles a hash `sid`, the size `n` and the `rare` ones."""
+    keys, counts = common_shingles(docs, text)
+
+    def worker():
+        def run(texts: list[bytes]) -> list:
+            sets = [shingle_set(t) for t in texts]
+            sids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) if len(s) else 0 for s in sets], dtype=np.uint64)
+            return [[fingerprint_of(t) for t in texts], sids.view(np.int64), [len(s) for s in sets], [rarest(s, keys, counts) for s in sets]]
+
+        return run
+
+    return map_texts(docs, keep, "fp long, sid long, n int, rare array<long>", worker, text)
+
+
 def grid_cells(classes: DataFrame) -> DataFrame:
     """(fp, cell, tag): each fingerprint's own cell (tag 0) and the up to 32 cells one step away.
 
@@ -125,21 +190,88 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): pairs of `sets` of likeness LIKE / OF or more, enough to connect all of them.
+
+    `sets` has sid, n, rare and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare
+    shingle are joined, if their sizes and the places of the shingle leave room for enough common ones (Xiao and
+    others, 2008), and checked on all shingles. In a crowded cell each set is first checked against the smallest
+    one; two that are both linked to it need no link of their own, all others are joined there, too.
+    """
+    cells = sets.select("sid", "n", "_row_key", F.posexplode("rare").alias("pos", "cell"))
+    leader = F.min(F.struct("sid", "n", "pos", "_row_key")).alias("leader")
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("m"), leader).where("m > 1")
+    shared = written(cells.join(sizes, "cell").select("cell", "m", "leader", F.struct("sid", "n", "pos", "_row_key").alias("x")), "shingle-cells")
+
+    def fits(a, b):
+        total = (a["n"] + b["n"]) * LIKE
+        near = F.least(a["n"], b["n"]) * OF >= F.greatest(a["n"], b["n"]) * LIKE
+        return near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= total)
+
+    def told(pairs: DataFrame) -> DataFrame:
+        flat = pairs.select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("sid", "n", "_row_key")])
+        return flat.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), "a_n", "b_n", "a__row_key", "b__row_key").distinct()
+
+    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
+        a, b = left.select("cell", F.col("x").alias("a")), right.select("cell", F.col("x").alias("b"))
+        return a.join(b, "cell").where((F.col("a.sid") != F.col("b.sid")) & fits(F.col("a"), F.col("b")))
+
+    sparse, dense = shared.where(F.col("m") <= CROWDED), shared.where(F.col("m") > CROWDED)
+    first = told(joined(sparse, sparse).where("a.sid < b.sid"))
+    if dense.isEmpty():
+        return checked(first, texts)
+    star = dense.where("x.sid <> leader.sid").select(F.col("leader").alias("a"), F.col("x").alias("b"))
+    found = checked(first.union(told(star.where(fits(F.col("a"), F.col("b"))))).distinct(), texts)
+    held = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
+    on = (F.col("leader.sid") == F.col("_a")) & (F.col("x.sid") == F.col("_b"))
+    loose = written(dense.where("x.sid <> leader.sid").join(held, on, "left_anti"), "loose")
+    more = joined(loose, dense.where("x.sid <> leader.sid"))
+    low, high = F.when(F.col("a.sid") < F.col("b.sid"), F.col("a")).otherwise(F.col("b")), F.when(F.col("a.sid") < F.col("b.sid"), F.col("b")).otherwise(F.col("a"))
+    return found.union(checked(told(more.select(low.alias("a"), high.alias("b"))), texts))
+
+
+def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) of the pairs (a, b, a_n, b_n, a__row_key, b__row_key) whose shingle sets are alike."""
+    pairs = written(pairs, "candidates")
+    nodes = pairs.select(F.col("a").alias("sid"), F.col("a__row_key").alias("_row_key"))
+    nodes = nodes.union(pairs.select("b", "b__row_key")).distinct()
+
+    def worker():
+        return lambda batch: [[shingle_set(t) for t in batch]]
+
+    sets = map_texts(texts.join(nodes, "_row_key"), ["sid"], "shingles array<long>", worker)
+    sets = written(sets.dropDuplicates(["sid"]), "shingle-sets")
+    a = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
+    b = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("sb"))
+    common = F.size(F.array_intersect("sa", "sb"))
+    both = pairs.join(a, "a").join(b, "b").where(common * (LIKE + OF) >= (F.col("a_n") + F.col("b_n")) * LIKE)
+    return written(both.select("a", "b"), "alike")
+
+
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component of near duplicates, all columns as they are.
 
-    The row with the smallest doc_id stays (null ids come last; of rows that share an id, the one whose text
-    has the smallest hash, and of equal rows one). Only keys and hashes are grouped; texts are joined once.
+    Two texts are linked if their fingerprints differ in RADIUS or fewer bits, or if their sets of STAGE_SHINGLE
+    words have a Jaccard likeness of LIKE / OF or more. The row with the smallest doc_id stays (null ids come
+    last; of rows that share an id, the one whose text has the smallest hash, and of equal rows one). Equal sets
+    are one node of the graph.
     """
     key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text)))
     keyed = docs.withColumn("_row_key", key)
-    prints = fingerprints(keyed.select(F.col(doc_id).alias("doc_id"), "_row_key", F.col(text).alias("text")), ["doc_id", "_row_key"])
-    prints = written(prints, "simhash")
+    texts = keyed.select(F.col(doc_id).alias("doc_id"), "_row_key", F.col(text).alias("text"))
+    prints = written(stage_prints(texts, ["doc_id", "_row_key"]), "simhash")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row_key")
-    classes = written(prints.groupBy("fp").agg(F.min(rank).alias("first")), "classes")
-    roots = written(components(links(classes)), "roots")
-    whole = classes.join(roots, classes["fp"] == roots["node"], "left")
-    kept = whole.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+    sets = prints.groupBy("sid").agg(F.min(rank).alias("first"), F.first("n").alias("n"), F.first("rare").alias("rare"))
+    sets = written(sets.select("sid", "first", "n", "rare", F.col("first._row_key").alias("_row_key")), "sets")
+    members = prints.select("fp", "sid").distinct()
+    classes = written(members.groupBy("fp").agg(F.min("sid").alias("head")), "classes")
+    same = members.join(classes, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
+    ends = links(classes).join(classes.select(F.col("fp").alias("a"), F.col("head").alias("_a")), "a")
+    ends = ends.join(classes.select(F.col("fp").alias("b"), F.col("head").alias("_b")), "b").select("_a", "_b")
+    edges = same.union(ends).union(alike(sets, texts.select("_row_key", "text")))
+    roots = written(components(edges), "roots")
+    whole = sets.join(roots, sets["sid"] == roots["node"], "left")
+    kept = whole.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("first").alias("first"))
     kept = written(kept.select(F.col("first._row_key").alias("_row_key")), "kept")
     stay = keyed.join(kept, "_row_key", "left_semi")
     one = Window.partitionBy("_row_key").orderBy("_row_key")
