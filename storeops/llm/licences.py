@@ -50,8 +50,9 @@ IDENTIFIERS = (
     ("lgpl", WEAK), ("epl", WEAK), ("cddl", WEAK), ("agpl", STRONG), ("gpl", STRONG),
 )
 TAG = "spdx-license-identifier:"
-#: An expression ends with its line.
+#: An expression ends with its line at the latest.
 EXPRESSION = re.compile(rb"[^\r\n]*")
+BLANKS = re.compile(r"[\x20\t]*")
 TOKEN = re.compile(r"[a-z0-9][a-z0-9.+:-]*|[()]")
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
@@ -115,6 +116,48 @@ def evaluate(expression: str) -> tuple[float, list[str]] | None:
     return values[0], sorted(set(names))
 
 
+def longest(line: str) -> tuple[str, float, list[str]] | None:
+    """The longest well-formed expression at the start of a line, what it asks, and its identifiers; None without.
+
+    Only blanks stand between its tokens; the first token that cannot continue it ends it. Full stops, colons
+    and hyphens behind an identifier are the sentence's. An expression that its line's end cuts is malformed.
+    """
+    tokens: list[str] = []
+    complete = depth = at = 0
+    operand = True
+    while match := TOKEN.match(line, BLANKS.match(line, at).end()):
+        raw = match.group()
+        token = raw.rstrip(".:-")
+        if operand and token == "(":
+            depth += 1
+        elif operand and token not in PRECEDENCE and token != ")":
+            operand = False
+        elif not operand and token in PRECEDENCE:
+            operand = True
+        elif not operand and token == ")" and depth:
+            depth -= 1
+        else:
+            break
+        tokens.append(token)
+        at = match.end()
+        if not operand and not depth:
+            complete = len(tokens)
+        if token != raw:
+            break
+    cut = (operand or depth) and BLANKS.match(line, at).end() == len(line)
+    if cut or not complete:
+        return None
+    said = " ".join(tokens[:complete])
+    return said, *evaluate(said)
+
+
+def tag_automaton() -> ahocorasick.Automaton:
+    made = ahocorasick.Automaton()
+    made.add_word(TAG, len(TAG))
+    made.make_automaton()
+    return made
+
+
 def automaton() -> ahocorasick.Automaton:
     """All phrases, each between blanks; one phrase may serve the base scan and the notices."""
     made = ahocorasick.Automaton()
@@ -124,7 +167,7 @@ def automaton() -> ahocorasick.Automaton:
     return made
 
 
-def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
+def scan(text: bytes, phrases: ahocorasick.Automaton, tags: ahocorasick.Automaton) -> tuple:
     """One row of SCHEMA for a whole text."""
     words = text.translate(_WORDS).split()
     line = f" {b' '.join(words).decode('latin-1')} "
@@ -142,15 +185,12 @@ def scan(text: bytes, phrases: ahocorasick.Automaton) -> tuple:
             worst = max(worst, notice[1])
     expressions = []
     lower = text.translate(ASCII_LOWER)
-    place = lower.find(TAG.encode())
-    while place >= 0:
-        raw = EXPRESSION.match(lower, place + len(TAG)).group().decode("utf-8", "replace").strip()
-        value = evaluate(raw)
-        if value is not None:
-            expressions.append((" ".join(TOKEN.findall(raw)), value[0]))
-            notices += [(name, None) for name in value[1]]
-            worst = max(worst, value[0])
-        place = lower.find(TAG.encode(), place + len(TAG))
+    for last, _ in tags.iter(lower.decode("latin-1")):
+        found = longest(EXPRESSION.match(lower, last + 1).group().decode("utf-8", "replace"))
+        if found is not None:
+            expressions.append(found[:2])
+            notices += [(name, None) for name in found[2]]
+            worst = max(worst, found[1])
     return len(words), base, notices, expressions, worst
 
 
@@ -158,15 +198,15 @@ def find_licences(docs: DataFrame, keep: list[str], text: str = "text") -> DataF
     """`keep` and SCHEMA: number of words, base hits and notices with their word, expressions, score.
 
     `score` is what the most demanding find asks, 0 without any. Identifiers of expressions count as notices
-    without a word; a malformed expression is passed over. Null texts count as empty. Repeated phrases all
+    without a word; of what follows a tag the longest well-formed expression counts, if there is one. Null texts count as empty. Repeated phrases all
     count. Other columns are passed on only if named in `keep`.
     """
 
     def worker():
-        phrases = automaton()
+        phrases, tags = automaton(), tag_automaton()
 
         def run(texts: list[bytes]) -> list:
-            rows = [scan(t, phrases) for t in texts]
+            rows = [scan(t, phrases, tags) for t in texts]
             n, base, notices, expressions, score = zip(*rows) if rows else [()] * 5
             pairs = [[[{"label": a, "word": b} for a, b in hits] for hits in column] for column in (base, notices)]
             said = [[{"expression": a, "asks": b} for a, b in hits] for hits in expressions]
