@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storeops.llm.common import ASCII_LOWER, map_texts, table, written
@@ -26,6 +26,8 @@ STAGE_SHINGLE = 5
 LIKE, OF = 4, 5
 #: About so many texts tell which shingles are common, those that COMMON of them hold.
 SAMPLE, COMMON = 4096, 3
+#: Bits of a shingle's hash that name its cell.
+CELL_BITS = 40
 
 
 def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
@@ -191,61 +193,60 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): pairs of `sets` of likeness LIKE / OF or more, enough to connect all of them.
+    """(a, b): sids of pairs of `sets` of likeness LIKE / OF or more, enough to connect all of them.
 
-    `sets` has sid, n, rare and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare
-    shingle are joined, if their sizes and the places of the shingle leave room for enough common ones (Xiao and
-    others, 2008), and checked on all shingles. In a crowded cell each set is first checked against the smallest
-    one; two that are both linked to it need no link of their own, all others are joined there, too.
+    `sets` has num, sid, n, rare and _row_key, one row per set; `texts` has _row_key and text. Sets that share a
+    rare shingle are joined, if their sizes and the places of the shingle leave room for enough common ones (Xiao
+    and others, 2008), and checked on all shingles. In a crowded cell each set is first checked against the
+    smallest one; two that are both linked to it need no link of their own, all others are joined there, too.
+    Cells are numbers of CELL_BITS, which shuffle small; two shingles in one cell only add pairs to check.
     """
-    cells = sets.select("sid", "n", "_row_key", F.posexplode("rare").alias("pos", "cell"))
-    leader = F.min(F.struct("sid", "n", "pos", "_row_key")).alias("leader")
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("m"), leader).where("m > 1")
-    shared = written(cells.join(sizes, "cell").select("cell", "m", "leader", F.struct("sid", "n", "pos", "_row_key").alias("x")), "shingle-cells")
+    cells = sets.select("num", "n", F.posexplode("rare").alias("pos", "cell"))
+    cells = cells.withColumn("cell", F.col("cell").bitwiseAND(F.lit(2**CELL_BITS - 1)))
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1")
+    shared = written(cells.join(sizes, "cell").select("cell", "m", F.struct("num", "n", "pos").alias("x")), "shingle-cells")
+    a, b = F.col("a"), F.col("b")
 
-    def fits(a, b):
-        total = (a["n"] + b["n"]) * LIKE
+    def fits():
         near = F.least(a["n"], b["n"]) * OF >= F.greatest(a["n"], b["n"]) * LIKE
-        return near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= total)
+        return near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= (a["n"] + b["n"]) * LIKE)
 
-    def told(pairs: DataFrame) -> DataFrame:
-        flat = pairs.select(*[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("sid", "n", "_row_key")])
-        return flat.select(F.col("a_sid").alias("a"), F.col("b_sid").alias("b"), "a_n", "b_n", "a__row_key", "b__row_key").distinct()
+    def pairs(frame: DataFrame) -> DataFrame:
+        return frame.select(F.least("a.num", "b.num").alias("a"), F.greatest("a.num", "b.num").alias("b")).distinct()
 
-    def joined(left: DataFrame, right: DataFrame) -> DataFrame:
-        a, b = left.select("cell", F.col("x").alias("a")), right.select("cell", F.col("x").alias("b"))
-        return a.join(b, "cell").where((F.col("a.sid") != F.col("b.sid")) & fits(F.col("a"), F.col("b")))
+    def joined(left: DataFrame, right: DataFrame, once: Column) -> DataFrame:
+        both = left.select("cell", F.col("x").alias("a")).join(right.select("cell", F.col("x").alias("b")), "cell")
+        return pairs(both.where(once & fits()))
 
     sparse, dense = shared.where(F.col("m") <= CROWDED), shared.where(F.col("m") > CROWDED)
-    first = told(joined(sparse, sparse).where("a.sid < b.sid"))
+    first = joined(sparse, sparse, a["num"] < b["num"])
     if dense.isEmpty():
-        return checked(first, texts)
-    star = dense.where("x.sid <> leader.sid").select(F.col("leader").alias("a"), F.col("x").alias("b"))
-    found = checked(first.union(told(star.where(fits(F.col("a"), F.col("b"))))).distinct(), texts)
-    held = found.select(F.col("a").alias("_a"), F.col("b").alias("_b"))
-    on = (F.col("leader.sid") == F.col("_a")) & (F.col("x.sid") == F.col("_b"))
-    loose = written(dense.where("x.sid <> leader.sid").join(held, on, "left_anti"), "loose")
-    more = joined(loose, dense.where("x.sid <> leader.sid"))
-    low, high = F.when(F.col("a.sid") < F.col("b.sid"), F.col("a")).otherwise(F.col("b")), F.when(F.col("a.sid") < F.col("b.sid"), F.col("b")).otherwise(F.col("a"))
-    return found.union(checked(told(more.select(low.alias("a"), high.alias("b"))), texts))
-
-
-def checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) of the pairs (a, b, a_n, b_n, a__row_key, b__row_key) whose shingle sets are alike."""
-    pairs = written(pairs, "candidates")
-    nodes = pairs.select(F.col("a").alias("sid"), F.col("a__row_key").alias("_row_key"))
-    nodes = nodes.union(pairs.select("b", "b__row_key")).distinct()
+        return checked(first, sets, texts).select("a", "b")
+    leaders = dense.groupBy("cell").agg(F.min("x").alias("leader"))
+    others = written(dense.join(leaders, "cell").where("x.num <> leader.num"), "crowded")
+    star = others.select(F.col("leader").alias("a"), F.col("x").alias("b")).where(fits())
+    found = checked(first.union(pairs(star)).distinct(), sets, texts)
+    on = (F.col("leader.num") == F.col("num_a")) & (F.col("x.num") == F.col("num_b"))
+    loose = written(others.join(found.select("num_a", "num_b"), on, "left_anti"), "loose")
+    more = checked(joined(loose, others, a["num"] != b["num"]), sets, texts)
+    return found.union(more).select("a", "b")
+
+
+def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """num_a, num_b, a and b (sids) of the pairs (a, b) of nums whose whole shingle sets are alike."""
+    pairs = written(pairs.select(F.col("a").alias("num_a"), F.col("b").alias("num_b")), "candidates")
+    nodes = pairs.select(F.col("num_a").alias("num")).union(pairs.select("num_b")).distinct()
+    nodes = sets.select("num", "sid", "_row_key").join(nodes, "num")
 
     def worker():
         return lambda batch: [[shingle_set(t) for t in batch]]
 
-    sets = map_texts(texts.join(nodes, "_row_key"), ["sid"], "shingles array<long>", worker)
-    sets = written(sets.dropDuplicates(["sid"]), "shingle-sets")
-    a = sets.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
-    b = sets.select(F.col("sid").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    both = pairs.join(a, "a").join(b, "b").where(common * (LIKE + OF) >= (F.col("a_n") + F.col("b_n")) * LIKE)
-    return written(both.select("a", "b"), "alike")
+    whole = map_texts(texts.join(nodes, "_row_key"), ["num", "sid"], "shingles array<long>", worker)
+    whole = written(whole.dropDuplicates(["num"]), "shingle-sets")
+    sides = [whole.select(F.col("num").alias(f"num_{s}"), F.col("sid").alias(s), F.col("shingles").alias(f"s_{s}")) for s in "ab"]
+    common, total = F.size(F.array_intersect("s_a", "s_b")), F.size("s_a") + F.size("s_b")
+    both = pairs.join(sides[0], "num_a").join(sides[1], "num_b").where(common * (LIKE + OF) >= total * LIKE)
+    return written(both.select("num_a", "num_b", "a", "b"), "alike")
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -262,7 +263,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     prints = written(stage_prints(texts, ["doc_id", "_row_key"]), "simhash")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row_key")
     sets = prints.groupBy("sid").agg(F.min(rank).alias("first"), F.first("n").alias("n"), F.first("rare").alias("rare"))
-    sets = written(sets.select("sid", "first", "n", "rare", F.col("first._row_key").alias("_row_key")), "sets")
+    sets = written(sets.select(F.monotonically_increasing_id().alias("num"), "sid", "first", "n", "rare", F.col("first._row_key").alias("_row_key")), "sets")
     members = prints.select("fp", "sid").distinct()
     classes = written(members.groupBy("fp").agg(F.min("sid").alias("head")), "classes")
     same = members.join(classes, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
