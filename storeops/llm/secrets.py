@@ -38,6 +38,8 @@ ALLOWED = (
     r"(?:0123456789|123456789|abcdefgh|ABCDEFGH)",
     r"(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Ss][Aa][Mm][Pp][Ll][Ee]|[Cc][Hh][Aa][Nn][Gg][Ee][Mm][Ee]|[Xx]{6,})",
 )
+#: Bits of a window of letters with at least CASED small and CASED capital ones; words joined by capitals have fewer.
+CASED, CASED_BITS = 5, 3.5
 KINDS = ("assign", "access", "hex", "entropy")
 
 #: Window weights are whole numbers: c log2 c in units of 1e-9 bit, so sums do not depend on their order.
@@ -77,14 +79,49 @@ def matches(text: Column, pattern: str, kind: int, group: int = 0, least: int =
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPANS))
 
 
-def hot_windows(value: Column, threshold: Column) -> Column:
+def _most(bits: float) -> int:
+    """The weight sum that a window of so many bits has."""
+    return int((math.log2(WINDOW) - bits) * (WINDOW * _UNIT))
+
+
+def _most_of_window(counts: Column) -> Column:
+    """The weight sum that a window may have by the class of its own characters; -1 where none counts."""
+    bits = {name: b for name, _, b in CLASSES}
+
+    def total(first: str, last: str) -> Column:
+        part = F.slice(counts, ord(first) - _FIRST + 1, ord(last) - ord(first) + 1)
+        return F.aggregate(part, F.lit(0), lambda a, c: a + c)
+
+    kinds = F.struct(
+        total("0", "9").alias("digits"),
+        total("a", "z").alias("small"),
+        total("A", "Z").alias("large"),
+        total("a", "f").alias("small_hex"),
+        total("A", "F").alias("large_hex"),
+    )
+
+    def limit(k: Column) -> Column:
+        hexes = (k["digits"] + k["small_hex"] == WINDOW) | (k["digits"] + k["large_hex"] == WINDOW)
+        out = F.when(k["digits"] == WINDOW, F.lit(-1)).when(hexes, F.lit(_most(bits["hex"])))
+        letters = k["small"] + k["large"]
+        cased = (letters == WINDOW) & (k["small"] >= CASED) & (k["large"] >= CASED)
+        out = out.when(cased, F.lit(_most(CASED_BITS))).when(letters == WINDOW, F.lit(_most(bits["letters"])))
+        out = out.when(k["digits"] + letters == WINDOW, F.lit(_most(bits["alphanumeric"])))
+        return out.otherwise(F.lit(_most(bits["base64"]))).cast("long")
+
+    return let(kinds, limit)
+
+
+def hot_windows(value: Column, threshold: Column | None) -> Column:
     """Merged [start, end) places of the windows of a string whose entropy reaches a threshold.
 
     One pass: the entering and the leaving character change their counts and the weight sum by one step each.
-    The entropy of a window is log2(WINDOW) less the sum of c log2 c over its counts, divided by WINDOW.
+    The entropy of a window is log2(WINDOW) less the sum of c log2 c over its counts, divided by WINDOW. Without
+    a threshold each window has that of its own characters' class.
     """
     weights = F.array(*[F.lit(w).cast("long") for w in _WEIGHTS])
-    most = ((math.log2(WINDOW) - threshold) * (WINDOW * _UNIT)).cast("long")
+    most = None if threshold is None else ((math.log2(WINDOW) - threshold) * (WINDOW * _UNIT)).cast("long")
+    least_bits = min(*(bits for _, _, bits in CLASSES), CASED_BITS)
     counts = F.array_repeat(F.lit(0), _LAST - _FIRST + 1)
     codes = F.transform(F.split(value, ""), lambda c: F.ascii(c) - (_FIRST - 1))
     spans = F.array().cast("array<struct<start:int,end:int>>")
@@ -123,13 +160,19 @@ def hot_windows(value: Column, threshold: Column) -> Column:
             s["counts"], lambda c, j: c + (j + 1 == code).cast("int") - (j + 1 == y["gone"]).cast("int")
         )
         n = s["n"] + 1
+
+        def hot(t: Column) -> Column:
+            if most is not None:
+                return (n >= WINDOW) & (t <= most)
+            return F.when((n >= WINDOW) & (t <= _most(least_bits)), t <= _most_of_window(moved)).otherwise(F.lit(False))
+
         return let(
             total,
             lambda t: F.struct(
                 n.alias("n"),
                 moved.alias("counts"),
                 t.alias("weight"),
-                F.when((n >= WINDOW) & (t <= most), _grown(s["spans"], n)).otherwise(s["spans"]).alias("spans"),
+                F.when(hot(t), _grown(s["spans"], n)).otherwise(s["spans"]).alias("spans"),
             ),
         )
 
@@ -177,6 +220,31 @@ def entropy_spans(text: Column) -> Column:
     return F.flatten(F.transform(candidates, spans_of))
 
 
+def window_spans(text: Column) -> Column:
+    """Spans of kind entropy by each window's own class, of candidates that no allow-list entry covers."""
+
+    def harmless(value: Column) -> Column:
+        test = value.rlike(ALLOWED[0])
+        for pattern in ALLOWED[1:]:
+            test = test | value.rlike(pattern)
+        return test
+
+    def spans_of(piece: Column) -> Column:
+        start = piece["start"]
+        return F.transform(
+            hot_windows(piece["value"], None),
+            lambda w: F.struct(
+                (start + w["start"]).alias("start"),
+                (start + w["end"]).alias("end"),
+                F.lit(KINDS.index("entropy")).alias("kind"),
+                F.substring(piece["value"], w["start"] + 1, F.lit(0) + w["end"] - w["start"]).alias("value"),
+            ).cast(SPAN),
+        )
+
+    candidates = F.filter(matches(text, CANDIDATE, -1), lambda c: ~harmless(c["value"]))
+    return F.flatten(F.transform(candidates, spans_of))
+
+
 def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """`keep`, `base` and `spans`: arrays of (start, end, kind, value), sorted by start and kind.
 
@@ -204,11 +272,13 @@ def digest(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", size: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """`docs`, all columns, with each run of overlapping spans in the text replaced by a mark and its size set anew.
 
-    Texts without secrets, null ones included, stay as they are. The second column is left out if absent.
+    Beside the spans of the query those of `window_spans` are replaced. Texts without secrets, null ones included,
+    stay as they are. The second column is left out if absent.
     """
     found = find_secrets(docs.withColumn("_whole", F.struct(*docs.columns)), ["_whole"], text)
     whole = F.col("_whole")
     body = whole[text]
+    found = found.withColumn("spans", F.array_sort(F.concat("spans", window_spans(F.coalesce(body, F.lit(""))))))
 
     def cover(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
