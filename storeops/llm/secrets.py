@@ -38,6 +38,14 @@ ALLOWED = (
     r"(?:0123456789|123456789|abcdefgh|ABCDEFGH)",
     r"(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Ss][Aa][Mm][Pp][Ll][Ee]|[Cc][Hh][Aa][Nn][Gg][Ee][Mm][Ee]|[Xx]{6,})",
 )
+#: Harmless strings of the last two entries. The masking stage passes over them alone, not over what they are glued to.
+LISTED = (
+    "0123456789", "123456789", "abcdefgh", "ABCDEFGH", "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]", "[Ss][Aa][Mm][Pp][Ll][Ee]",
+    "[Cc][Hh][Aa][Nn][Gg][Ee][Mm][Ee]",
+)
+LISTED_SIZES = (10, 9, 8, 8, 7, 6, 8)
+#: A character of a run of six or more x.
+LISTED_X = "|".join(f"(?<=[Xx]{{{k}}})[Xx](?=[Xx]{{{5 - k}}})" for k in range(6))
 #: Bits of a window of letters with at least CASED small and CASED capital ones; words joined by capitals have fewer.
 CASED, CASED_BITS = 5, 3.5
 KINDS = ("assign", "access", "hex", "entropy")
@@ -221,16 +229,30 @@ def entropy_spans(text: Column) -> Column:
 
 
 def window_spans(text: Column) -> Column:
-    """Spans of kind entropy by each window's own class, of candidates that no allow-list entry covers."""
+    """Spans of kind entropy by each window's own class, around the LISTED strings of a candidate.
+
+    Candidates, and what the listed strings leave of them, are passed over if one of the other entries covers
+    them whole.
+    """
 
     def harmless(value: Column) -> Column:
         test = value.rlike(ALLOWED[0])
-        for pattern in ALLOWED[1:]:
+        for pattern in ALLOWED[1:3]:
             test = test | value.rlike(pattern)
         return test
 
-    def spans_of(piece: Column) -> Column:
-        start = piece["start"]
+    def blanked(value: Column) -> Column:
+        out = value
+        for pattern, size in zip(LISTED, LISTED_SIZES):
+            out = F.regexp_replace(out, pattern, " " * size)
+        return F.regexp_replace(out, LISTED_X, " ")
+
+    def inner(candidate: Column) -> Column:
+        pieces = F.filter(matches(blanked(candidate["value"]), CANDIDATE, -1), lambda p: ~harmless(p["value"]))
+        return F.flatten(F.transform(pieces, lambda p: spans_of(candidate, p)))
+
+    def spans_of(candidate: Column, piece: Column) -> Column:
+        start = candidate["start"] + piece["start"]
         return F.transform(
             hot_windows(piece["value"], None),
             lambda w: F.struct(
@@ -242,7 +264,7 @@ def window_spans(text: Column) -> Column:
         )
 
     candidates = F.filter(matches(text, CANDIDATE, -1), lambda c: ~harmless(c["value"]))
-    return F.flatten(F.transform(candidates, spans_of))
+    return F.flatten(F.transform(candidates, inner))
 
 
 def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
