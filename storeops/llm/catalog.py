@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storeops.llm.bpe import op8_bpe
 from storeops.llm.decontaminate import op7_decontaminate
+from storeops.llm.lexical import OP12_SQL, op12_lexical
 from storeops.llm.licences import op10_licences
 from storeops.llm.minhash import op2_minhash
 from storeops.llm.quality import op9_quality
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_licences": op10_licences,
+    "op12_lexical": op12_lexical,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL, "op12_lexical": OP12_SQL}

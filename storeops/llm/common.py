@@ -6,13 +6,17 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of an Arrow batch that are turned into Python objects at a time.
 SLICE = 256
 
+#: Bytes of text in such a slice, where an operator cuts by size; a longer text is a slice of its own.
+SLICE_BYTES = 8 << 20
+
 #: Bytes A-Z to a-z; all other bytes of a UTF-8 text stay.
 ASCII_LOWER = bytes(range(256)).lower()
 
@@ -43,6 +47,30 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def blocks_of(items: DataFrame, size: Column, most: int) -> Iterator[list[Row]]:
+    """The rows in blocks of about `most` of the summed `size`, one at a time, equal rows together.
+
+    The driver holds a block at a time, whatever the table's size. No rows: one empty block.
+    """
+    count = max(1, -(-(items.agg(F.sum(size)).first()[0] or 0) // most))
+    number = F.pmod(F.xxhash64(*items.columns), F.lit(count))
+    for k in range(count):
+        yield items.where(number == k).collect()
+
+
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most SLICE rows and about SLICE_BYTES bytes of the text in `column`."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == SLICE or total + size > SLICE_BYTES):
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += size
+    if len(sizes) > start:
+        yield batch.slice(start)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body` of a value that is worked out once, however often the body names it."""
     return F.transform(F.array(value), body)[0]
