@@ -10,6 +10,7 @@ from storeops.llm.bpe import op8_bpe
 from storeops.llm.decontaminate import op7_decontaminate
 from storeops.llm.lexical import OP12_SQL, op12_lexical
 from storeops.llm.licences import op10_licences
+from storeops.llm.maintext import op13_maintext
 from storeops.llm.minhash import op2_minhash
 from storeops.llm.quality import op9_quality
 from storeops.llm.secrets import OP5_SQL, op5_secrets
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_licences": op10_licences,
     "op12_lexical": op12_lexical,
+    "op13_maintext": op13_maintext,
 }
 
 ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL, "op12_lexical": OP12_SQL}
