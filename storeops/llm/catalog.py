@@ -17,6 +17,7 @@ from storeops.llm.secrets import OP5_SQL, op5_secrets
 from storeops.llm.simhash import op6_simhash
 from storeops.llm.tokencount import op3_token_counts
 from storeops.llm.toxicity import op4_toxicity
+from storeops.llm.trie import OP11_SQL, op11_trie
 from storeops.llm.warc import OP1_SQL, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,8 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_licences": op10_licences,
+    "op11_trie": op11_trie,
     "op12_lexical": op12_lexical,
     "op13_maintext": op13_maintext,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL, "op12_lexical": OP12_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op5_secrets": OP5_SQL, "op11_trie": OP11_SQL, "op12_lexical": OP12_SQL}
