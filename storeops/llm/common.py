@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,23 +28,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """An unused path below spark.checkpoint.dir, or below the warehouse where that is not set.
+    """An unused path below spark.checkpoint.dir, which all executors share.
 
-    Both are shared by all executors. The application's folder goes when its session ends.
+    Where that is not set, a local session uses a temporary folder of its machine and a cluster refuses. The
+    application's folder goes when its session ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.gettempdir()
     own = f"{root.rstrip('/')}/corpus-{spark.sparkContext.applicationId}"
     path = spark._jvm.org.apache.hadoop.fs.Path(own)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return f"{own}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that `written` makes meanwhile are deleted at the end, unless they are lasting ones."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for name in _SCRATCH.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, purpose: str, lasting: bool = False) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     Cuts the lineage, survives lost executors, and gives the joins that follow a size they can trust.
     """
     path = work_folder(df.sparkSession, purpose)
+    if _SCRATCH and not lasting:
+        _SCRATCH[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storeops.llm.common import ASCII_LOWER, SLICE, map_texts, table
+from storeops.llm.common import ASCII_LOWER, blocks_of, map_texts, slices, table, written
 
 #: Characters of an item per allowed edit: one edit in twenty.
 CHARS_PER_EDIT = 20
@@ -140,16 +141,11 @@ def occurrences(pattern: str, text: str, budget: int) -> list[tuple[int, int, in
     return places
 
 
-def item_blocks(items: DataFrame, item_id: str = "item_id", text: str = "text") -> list[list[tuple[int, str]]]:
-    """The items in blocks of about BLOCK_BYTES, which bounds what one pass holds. Null texts and ids go."""
-    frame = items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("i is not null and t <> ''").distinct()
-    total = frame.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    count = max(1, -(-total // BLOCK_BYTES))
-    blocks = []
-    for k in range(count):
-        rows = frame.where(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == k).collect()
-        blocks.append(sorted((r["i"], fold(r["t"].encode())) for r in rows))
-    return blocks
+def item_blocks(items: DataFrame, named: bool, item_id: str = "item_id", text: str = "text") -> Iterator[list[tuple[int, str]]]:
+    """The items in blocks of about BLOCK_BYTES, one at a time; null and empty texts go, and null ids if `named`."""
+    frame = items.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t <> ''").distinct()
+    for rows in blocks_of(frame.where("i is not null") if named else frame, F.octet_length("t"), BLOCK_BYTES):
+        yield sorted(((r["i"], fold(r["t"].encode())) for r in rows), key=lambda x: (x[0] is None, x))
 
 
 def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -157,35 +153,36 @@ def find_items(docs: DataFrame, items: DataFrame, keep: list[str], text: str = "
 
     Whole texts are searched for every item with one edit allowed per CHARS_PER_EDIT characters, after
     folding A-Z and white space. With k edits allowed an item is cut into k+1 pieces, one of which a match
-    must hold unchanged, so no match is lost. Null texts count as empty; empty items match nowhere; repeated
-    rows of either table are searched alike; rows of one item id with several texts are all searched.
+    must hold unchanged, so no match is lost. Null texts count as empty; empty items match nowhere, items without
+    an id cannot be told and are not searched; repeated rows of either table are searched alike; rows of one item
+    id with several texts are all searched. The items are searched in blocks, a pass over the documents each, and
+    only a block at a time is held anywhere.
     """
     found = None
-    for block in item_blocks(items):
+    for block in item_blocks(items, True):
         def worker(block=block):
             matcher = Matcher.of(block)
             return lambda texts: [[matcher.search(fold(t)) for t in texts]]
 
         part = map_texts(docs, keep, f"hits array<struct<{HITS.replace(' ', ':')}>>".replace(",:", ","), worker, text)
         part = part.where(F.size("hits") > 0).select(*keep, F.inline("hits"))
-        found = part if found is None else found.unionByName(part)
+        found = part if found is None else found.unionByName(written(part, "hits"))
     return found
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, that hold no benchmark passage."""
+    """The rows of `docs`, all columns as they are, that hold no benchmark passage, items without an id included."""
     position = docs.columns.index(text)
     clean = docs
-    for block in item_blocks(items):
+    for number, block in enumerate(item_blocks(items, False)):
         def run(batches, block=block):
             matcher = Matcher.of(block)
             for batch in batches:
-                for start in range(0, batch.num_rows, SLICE):
-                    piece = batch.slice(start, SLICE)
+                for piece in slices(batch, position):
                     texts = piece.column(position).cast(pa.binary()).to_pylist()
                     yield piece.filter(pa.array([not matcher.search(fold(t or b"")) for t in texts], type=pa.bool_()))
 
-        clean = clean.mapInArrow(run, docs.schema)
+        clean = (written(clean, "clean") if number else clean).mapInArrow(run, docs.schema)
     return clean
 
 

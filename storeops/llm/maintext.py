@@ -162,12 +162,12 @@ def _named(p: Piece) -> bool:
 def cut_out(parts: list[Piece], partner: dict[int, int]) -> list[bool]:
     """For each piece whether it belongs to an element that holds no article text.
 
-    An element with an article, a main element or a first heading in it is a wrapper and stays, unless its own
-    name tells what it is or it is an article of its own class. One that nothing closes ends at the next article,
+    An element with an article, a main element or a first heading in it is a wrapper and stays, unless its own name
+    tells what it is, or it holds no more than articles that go by their own class. One that nothing closes ends at the next article,
     main element or heading of the first rank, or where the element around it may end.
     """
     size = len(parts)
-    anchors = [i for i, p in enumerate(parts) if p.name in ("article", "main", "h1") and not p.end]
+    anchors = [i for i, p in enumerate(parts) if p.name in ("article", "main", "h1") and not p.end and not (p.name == "article" and _named(p))]
     stops = [i for i, p in enumerate(parts) if p.name in ("article", "main", "body", "html", "h1") and (p.end or p.name in ("article", "main", "h1"))]
     out = [False] * size
     i = a = s = 0

@@ -5,17 +5,18 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from storeops.llm.common import let, table, written
+from storeops.llm.common import let, table
 
 #: Words of a shingle, bins, and low bits kept of each bin.
 SHINGLE, BINS, BITS = 5, 256, 4
 #: Draws for an empty bin before all filled bins are ranked for it.
 DRAWS = 8
-#: Rows that share a window when each row looks at the next one.
-NEIGHBOURS = 1024
+#: Rows of a range, in which each row looks at the next one, and the most ranges; more rows make larger ranges.
+NEIGHBOURS, MOST_RANGES = 1024, 4096
 
 _SHIFT = 64 - int(math.log2(BINS))
 _PER_LONG = 64 // BITS
@@ -130,6 +131,24 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     return docs.select(*keep, signature(F.col(text)).alias("signature"))
 
 
+def range_of(number: Column, edges: list[int]) -> Column:
+    """How many of the ascending `edges` are at most `number`; -1 for null. Edges are looked through in two steps."""
+    step = max(1, math.isqrt(len(edges)))
+    coarse, fine = np.array(edges[::step], dtype=np.int64), np.array(edges, dtype=np.int64)
+
+    def at_most(values: Column) -> Column:
+        return F.size(F.filter(values, lambda e: e <= number))
+
+    if not edges:
+        return F.when(number.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long")
+    start = F.greatest(at_most(F.lit(coarse)) - 1, F.lit(0)) * step
+    return F.when(number.isNull(), F.lit(-1)).otherwise(start + at_most(F.slice(F.lit(fine), start + 1, F.lit(step)))).cast("long")
+
+
+def _number(value: int | None) -> str:
+    return "NULL" if value is None else f"CAST('{value}' AS BIGINT)"
+
+
 def with_next(
     docs: DataFrame, values: list[str], derived: Mapping[str, Column] = {}, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -138,28 +157,27 @@ def with_next(
     `derived` are expressions of `text`, worked out once per row before the shuffle.
 
     After the last comes the first; a single document follows itself. Null ids come last; rows that share an
-    id are ordered by a hash of their text. Ids are cut into ranges of about NEIGHBOURS rows, each sorted by
-    itself; the first row of a range is copied to the range before it. Texts are shuffled once. Clustered
-    ids give some larger ranges, which spill but stay right.
+    id are ordered by a hash of their text. Ids are cut into ranges of about NEIGHBOURS rows at quantiles of the ids
+    themselves, so clustered ids make no larger ones; each is sorted by itself, and its first row is copied to the
+    range before it. Texts are shuffled once. Rows of one id, and those of none, share a range.
     """
     tie = F.xxhash64(text)
     ids = docs.select(F.col(doc_id).alias("doc_id"), tie.alias("tie"))
-    stats = ids.agg(F.count("doc_id"), F.min("doc_id"), F.max("doc_id")).first()
-    span = (stats[2] - stats[1] + 1) if stats[0] else 1
-    shift = max(0, math.ceil(math.log2(max(1, NEIGHBOURS * span / max(1, stats[0])))))
-    lowest = (stats[1] >> shift) - 1 if stats[0] else 0
-    bucket = F.coalesce(F.shiftright(F.col("doc_id"), min(shift, 63)), F.lit(lowest))
+    ranges = min(MOST_RANGES, -(-max(1, ids.count()) // NEIGHBOURS))
+    cuts = [k / ranges for k in range(1, ranges)]
+    edges = ids.agg(F.percentile_approx("doc_id", cuts, 10 * ranges)).first()[0] if cuts else None
+    bucket = range_of(F.col("doc_id"), sorted(set(edges or [])))
     first = F.max(F.struct(F.col("doc_id"), (-F.col("tie")).alias("tie"))).alias("first")
-    heads = written(ids.withColumn("bucket", bucket.cast("long")).groupBy("bucket").agg(first), "heads")
-    order = Window.orderBy("bucket")  # a row per range
-    goes_to = F.coalesce(F.lead("bucket").over(order), F.first("bucket").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    target = heads.select(F.col("bucket").alias("_own"), goes_to.alias("bucket"), F.col("first.doc_id").alias("_id"), (-F.col("first.tie")).alias("_tie"))
-    target = written(target, "targets")
+    heads = sorted(ids.withColumn("bucket", bucket).groupBy("bucket").agg(first).collect())  # a row per range
+    after = heads[1:] + heads[:1]
+    values_ = ", ".join(f"({n['bucket']}L, {_number(h['first']['doc_id'])}, {_number(-h['first']['tie'])})" for h, n in zip(heads, after))
+    target = docs.sparkSession.sql(f"SELECT * FROM VALUES {values_ or '(0L, NULL, NULL)'} AS t(bucket, _id, _tie)")
+    target = target.select("bucket", F.col("_id").cast("long"), F.col("_tie").cast("long"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), tie.alias("tie"), *values)
     copies = rows.join(target, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     columns = ["doc_id", "text", "tie", *values, "bucket"]
     copies = copies.select(*columns, F.lit(True).alias("copy"))  # a row that repeats gives equal copies, of which the first counts
-    both = rows.withColumn("bucket", bucket.cast("long")).select(*columns, F.lit(False).alias("copy")).union(copies)
+    both = rows.withColumn("bucket", bucket).select(*columns, F.lit(False).alias("copy")).union(copies)
     both = both.withColumns(dict(derived))
     line = Window.partitionBy("bucket").orderBy("copy", F.col("doc_id").desc_nulls_last(), "tie")
     shown = ["text", *values, *derived]

@@ -20,25 +20,19 @@ HEX = r"[0-9a-f]{24,}"
 #: Candidate strings for the entropy windows.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 
-#: Characters of an entropy window, and bits that a window of each class must reach. The classes are tried
-#: in this order. A window of 20 can reach 4.32 bits.
+#: Characters of an entropy window, and bits that a window of each class must reach. A window belongs to the first
+#: of these classes that has all its characters. A window of 20 can reach 4.32 bits.
 WINDOW = 20
-CLASSES = (
-    ("digits", r"^[0-9]+$", 99.0),
-    ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 2.95),
-    ("letters", r"^[A-Za-z]+$", 4.15),
-    ("alphanumeric", r"^[A-Za-z0-9]+$", 3.65),
-    ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.75),
-)
-#: Candidates that are known to be harmless: UUIDs, words joined by marks, times, runs of the alphabet, samples.
+CLASSES = (("hex", 2.95), ("letters", 4.15), ("alphanumeric", 3.65), ("base64", 3.75))
+#: Characters of a candidate that are passed over at a time.
+BLOCK = 2048
+#: Candidates that are known to be harmless as a whole: UUIDs, words joined by marks, times.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",
     r"^[+/_=-]*(?:[A-Z]?[a-z]+|[A-Z]+)(?:[+/_=-]+(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,4}))*[+/_=-]*$",
     r"^[0-9+/_=T-]+$",
-    r"(?:0123456789|123456789|abcdefgh|ABCDEFGH)",
-    r"(?:[Ee][Xx][Aa][Mm][Pp][Ll][Ee]|[Ss][Aa][Mm][Pp][Ll][Ee]|[Cc][Hh][Aa][Nn][Gg][Ee][Mm][Ee]|[Xx]{6,})",
 )
-#: Harmless strings of the last two entries. The masking stage passes over them alone, not over what they are glued to.
+#: Harmless strings inside candidates. They alone are passed over, not what they are glued to.
 LISTED = (
     "0123456789", "123456789", "abcdefgh", "ABCDEFGH", "[Ee][Xx][Aa][Mm][Pp][Ll][Ee]", "[Ss][Aa][Mm][Pp][Ll][Ee]",
     "[Cc][Hh][Aa][Nn][Gg][Ee][Mm][Ee]",
@@ -94,7 +88,7 @@ def _most(bits: float) -> int:
 
 def _most_of_window(counts: Column) -> Column:
     """The weight sum that a window may have by the class of its own characters; -1 where none counts."""
-    bits = {name: b for name, _, b in CLASSES}
+    bits = dict(CLASSES)
 
     def total(first: str, last: str) -> Column:
         part = F.slice(counts, ord(first) - _FIRST + 1, ord(last) - ord(first) + 1)
@@ -120,16 +114,40 @@ def _most_of_window(counts: Column) -> Column:
     return let(kinds, limit)
 
 
-def hot_windows(value: Column, threshold: Column | None) -> Column:
-    """Merged [start, end) places of the windows of a string whose entropy reaches a threshold.
+def hot_windows(value: Column) -> Column:
+    """Merged [start, end) places of the windows of a string whose entropy reaches the threshold of their class.
+
+    A long string is passed over in blocks, each with the first characters of the next, so that every window lies
+    in one; the work is linear in its length. Places that touch are one.
+    """
+    blocks = F.regexp_extract_all(value, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+    def of_blocks(b: Column) -> Column:
+        def shifted(block: Column, i: Column) -> Column:
+            rest = F.coalesce(F.substring(F.get(b, i + 1), 1, WINDOW - 1), F.lit(""))
+            return F.transform(
+                _windows_of(F.concat(block, rest)),
+                lambda w: F.struct((w["start"] + i * BLOCK).alias("start"), (w["end"] + i * BLOCK).alias("end")),
+            )
+
+        return F.flatten(F.transform(b, shifted))
+
+    def joined(w: Column) -> Column:
+        begins = F.filter(w, lambda x, i: (i == 0) | (x["start"] > F.get(w, i - 1)["end"]))
+        ends = F.filter(w, lambda x, i: (i == F.size(w) - 1) | (F.get(w, i + 1)["start"] > x["end"]))
+        return F.zip_with(begins, ends, lambda x, y: F.struct(x["start"].alias("start"), y["end"].alias("end")))
+
+    return let(let(blocks, of_blocks), joined)
+
+
+def _windows_of(value: Column) -> Column:
+    """The merged hot windows of one block.
 
     One pass: the entering and the leaving character change their counts and the weight sum by one step each.
-    The entropy of a window is log2(WINDOW) less the sum of c log2 c over its counts, divided by WINDOW. Without
-    a threshold each window has that of its own characters' class.
+    The entropy of a window is log2(WINDOW) less the sum of c log2 c over its counts, divided by WINDOW.
     """
     weights = F.array(*[F.lit(w).cast("long") for w in _WEIGHTS])
-    most = None if threshold is None else ((math.log2(WINDOW) - threshold) * (WINDOW * _UNIT)).cast("long")
-    least_bits = min(*(bits for _, _, bits in CLASSES), CASED_BITS)
+    least_bits = min(*(bits for _, bits in CLASSES), CASED_BITS)
     counts = F.array_repeat(F.lit(0), _LAST - _FIRST + 1)
     codes = F.transform(F.split(value, ""), lambda c: F.ascii(c) - (_FIRST - 1))
     spans = F.array().cast("array<struct<start:int,end:int>>")
@@ -169,20 +187,12 @@ def hot_windows(value: Column, threshold: Column | None) -> Column:
         )
         n = s["n"] + 1
 
-        def hot(t: Column) -> Column:
-            if most is not None:
-                return (n >= WINDOW) & (t <= most)
-            return F.when((n >= WINDOW) & (t <= _most(least_bits)), t <= _most_of_window(moved)).otherwise(F.lit(False))
-
-        return let(
-            total,
-            lambda t: F.struct(
-                n.alias("n"),
-                moved.alias("counts"),
-                t.alias("weight"),
-                F.when(hot(t), _grown(s["spans"], n)).otherwise(s["spans"]).alias("spans"),
-            ),
-        )
+        def after(v: Column) -> Column:
+            hot = F.when((n >= WINDOW) & (v["weight"] <= _most(least_bits)), v["weight"] <= _most_of_window(v["counts"]))
+            spans = F.when(hot.otherwise(F.lit(False)), _grown(s["spans"], n)).otherwise(s["spans"])
+            return F.struct(n.alias("n"), v["counts"].alias("counts"), v["weight"].alias("weight"), spans.alias("spans"))
+
+        return let(F.struct(total.alias("weight"), moved.alias("counts")), after)
 
     def _grown(spans: Column, end: Column) -> Column:
         size = F.size(spans)
@@ -198,46 +208,14 @@ def hot_windows(value: Column, threshold: Column | None) -> Column:
 
 
 def entropy_spans(text: Column) -> Column:
-    """Spans of kind entropy: hot windows of the candidate strings that no allow-list entry covers."""
+    """Spans of kind entropy, without values: the hot windows of the candidate strings around the LISTED ones.
 
-    def threshold(value: Column) -> Column:
-        out = None
-        for _, pattern, bits in CLASSES:
-            out = F.when(value.rlike(pattern), F.lit(bits)) if out is None else out.when(value.rlike(pattern), F.lit(bits))
-        return out.otherwise(F.lit(99.0))
-
-    def harmless(value: Column) -> Column:
-        test = F.lit(False)
-        for pattern in ALLOWED:
-            test = test | value.rlike(pattern)
-        return test | (threshold(value) > 90)
-
-    def spans_of(candidate: Column) -> Column:
-        value = candidate["value"]
-        return F.transform(
-            hot_windows(value, threshold(value)),
-            lambda w: F.struct(
-                (candidate["start"] + w["start"]).alias("start"),
-                (candidate["start"] + w["end"]).alias("end"),
-                F.lit(KINDS.index("entropy")).alias("kind"),
-                F.substring(value, w["start"] + 1, F.lit(0) + w["end"] - w["start"]).alias("value"),
-            ).cast(SPAN),
-        )
-
-    candidates = F.filter(matches(text, CANDIDATE, -1), lambda c: ~harmless(c["value"]))
-    return F.flatten(F.transform(candidates, spans_of))
-
-
-def window_spans(text: Column) -> Column:
-    """Spans of kind entropy by each window's own class, around the LISTED strings of a candidate.
-
-    Candidates, and what the listed strings leave of them, are passed over if one of the other entries covers
-    them whole.
+    Candidates, and what the listed strings leave of them, are passed over if an entry of ALLOWED covers them whole.
     """
 
     def harmless(value: Column) -> Column:
         test = value.rlike(ALLOWED[0])
-        for pattern in ALLOWED[1:3]:
+        for pattern in ALLOWED[1:]:
             test = test | value.rlike(pattern)
         return test
 
@@ -249,17 +227,16 @@ def window_spans(text: Column) -> Column:
 
     def inner(candidate: Column) -> Column:
         pieces = F.filter(matches(blanked(candidate["value"]), CANDIDATE, -1), lambda p: ~harmless(p["value"]))
-        return F.flatten(F.transform(pieces, lambda p: spans_of(candidate, p)))
+        return F.flatten(F.transform(pieces, lambda p: spans_of(candidate["start"] + p["start"], p["value"])))
 
-    def spans_of(candidate: Column, piece: Column) -> Column:
-        start = candidate["start"] + piece["start"]
+    def spans_of(start: Column, value: Column) -> Column:
         return F.transform(
-            hot_windows(piece["value"], None),
+            hot_windows(value),
             lambda w: F.struct(
                 (start + w["start"]).alias("start"),
                 (start + w["end"]).alias("end"),
                 F.lit(KINDS.index("entropy")).alias("kind"),
-                F.substring(piece["value"], w["start"] + 1, F.lit(0) + w["end"] - w["start"]).alias("value"),
+                F.lit(None).cast("string").alias("value"),
             ).cast(SPAN),
         )
 
@@ -270,7 +247,8 @@ def window_spans(text: Column) -> Column:
 def find_secrets(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """`keep`, `base` and `spans`: arrays of (start, end, kind, value), sorted by start and kind.
 
-    `base` has the known shapes, `spans` those and the entropy spans that reach beyond every base span.
+    `base` has the known shapes, `spans` those and the entropy spans that reach beyond every base span; those have
+    no value of their own. The work on a run of characters is linear in its length.
     Places are code points of the whole text, end exclusive. Null texts count as empty and hold nothing;
     other columns are passed on only if named in `keep`.
     """
@@ -294,13 +272,11 @@ def digest(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", size: str = "n_chars", mark: str = "[SECRET]") -> DataFrame:
     """`docs`, all columns, with each run of overlapping spans in the text replaced by a mark and its size set anew.
 
-    Beside the spans of the query those of `window_spans` are replaced. Texts without secrets, null ones included,
-    stay as they are. The second column is left out if absent.
+    Texts without secrets, null ones included, stay as they are. The second column is left out if absent.
     """
     found = find_secrets(docs.withColumn("_whole", F.struct(*docs.columns)), ["_whole"], text)
     whole = F.col("_whole")
     body = whole[text]
-    found = found.withColumn("spans", F.array_sort(F.concat("spans", window_spans(F.coalesce(body, F.lit(""))))))
 
     def cover(state: Column, span: Column) -> Column:
         fresh = span["start"] >= state["at"]
@@ -346,11 +322,26 @@ FROM (SELECT doc_id, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS hit
                    string_split_regex(t, {p}) AS gaps FROM d WHERE regexp_matches(t, {p})) parts) m
 QUALIFY length(inside) >= {least}"""
 
-    most = " ".join(
-        f"WHEN regexp_matches(hit, {quoted(p)}) THEN {int((math.log2(WINDOW) - bits) * (WINDOW * _UNIT)) if bits < 90 else -1}"
-        for _, p, bits in CLASSES
-    )
+    def hits_of(source: str, value: str, columns: str, pattern: str) -> str:
+        """Matches of a pattern in a column of a table, with their place from 0."""
+        p = quoted(pattern)
+        return f"""SELECT {columns}, hit, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY {columns} ORDER BY i) - length(hit) AS BIGINT) AS place
+FROM (SELECT {columns}, unnest(range(1, len(found) + 1)) AS i, unnest(found) AS hit, unnest(gaps[1:len(found)]) AS gap
+      FROM (SELECT {columns}, regexp_extract_all({value}, {p}) AS found, string_split_regex({value}, {p}) AS gaps FROM {source} WHERE regexp_matches({value}, {p})) parts) m"""
+
+    blank = "hit"
+    for pattern, size in zip(LISTED, LISTED_SIZES):
+        blank = f"regexp_replace({blank}, {quoted(pattern)}, '{' ' * size}', 'g')"
+    runs = "regexp_extract_all(b, '[Xx]{6,}')"
+    blanked = f"array_to_string(list_transform(list_zip(string_split_regex(b, '[Xx]{{6,}}'), {runs}), lambda z: z[1] || repeat(' ', coalesce(length(z[2]), 0))), '')"
     harmless = " OR ".join(f"regexp_matches(hit, {quoted(p)})" for p in ALLOWED)
+    bits = dict(CLASSES)
+    several = f"length(regexp_replace(part, '[^a-z]', '', 'g')) >= {CASED} AND length(regexp_replace(part, '[^A-Z]', '', 'g')) >= {CASED}"
+    most = f"""CASE WHEN regexp_full_match(part, '[0-9]+') THEN -1
+        WHEN regexp_full_match(part, '[0-9a-f]+|[0-9A-F]+') THEN {_most(bits["hex"])}
+        WHEN regexp_full_match(part, '[A-Za-z]+') AND {several} THEN {_most(CASED_BITS)}
+        WHEN regexp_full_match(part, '[A-Za-z]+') THEN {_most(bits["letters"])}
+        WHEN regexp_full_match(part, '[A-Za-z0-9]+') THEN {_most(bits["alphanumeric"])} ELSE {_most(bits["base64"])} END"""
     names = ", ".join(quoted(k) for k in KINDS)
 
     def told(table: str) -> str:
@@ -360,11 +351,13 @@ QUALIFY length(inside) >= {least}"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS (SELECT doc_id, kind, CAST(stop - length(hit) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop FROM (
 {hits(0, ASSIGN, 2, ASSIGN_MIN)} UNION ALL {hits(1, ACCESS)} UNION ALL {hits(2, HEX)}) b),
-candidates AS (SELECT *, CASE {most} ELSE -1 END AS most FROM ({hits(9, CANDIDATE)}) c WHERE NOT ({harmless})),
-windows AS (SELECT doc_id, stop - length(hit) AS origin, i, most, substr(hit, i + 1, {WINDOW}) AS part
-            FROM (SELECT *, unnest(range(0, length(hit) - {WINDOW - 1})) AS i FROM candidates WHERE most >= 0) w),
+candidates AS (SELECT doc_id, place AS origin, {blank} AS b FROM ({hits_of('d', 't', 'doc_id', CANDIDATE)}) c WHERE NOT ({harmless})),
+plain AS (SELECT doc_id, origin, {blanked} AS b FROM candidates),
+pieces AS (SELECT doc_id, origin + place AS origin, hit FROM ({hits_of('plain', 'b', 'doc_id, origin', CANDIDATE)}) c WHERE NOT ({harmless})),
+windows AS (SELECT doc_id, origin, i, substr(hit, i + 1, {WINDOW}) AS part
+            FROM (SELECT *, unnest(range(0, length(hit) - {WINDOW - 1})) AS i FROM pieces) w),
 hot AS (SELECT doc_id, origin, i FROM windows WHERE list_sum([({_WEIGHTS[: WINDOW + 1]})[1 + length(part) - length(replace(part, c, ''))]
-        FOR c IN list_distinct(string_split(part, ''))]) <= most),
+        FOR c IN list_distinct(string_split(part, ''))]) <= {most}),
 islands AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, origin ORDER BY i) AS island FROM (
             SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id, origin ORDER BY i) + {WINDOW} THEN 0 ELSE 1 END AS fresh FROM hot) h),
 more AS (SELECT doc_id, {KINDS.index('entropy')} AS kind, CAST(origin + min(i) AS BIGINT) AS start, CAST(origin + max(i) + {WINDOW} AS BIGINT) AS stop

@@ -5,12 +5,20 @@ The pipeline's stage also links texts by the exact likeness of their shingle set
 
 from __future__ import annotations
 
+import math
+import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
+
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from storeops.llm.common import ASCII_LOWER, map_texts, table, written
+from storeops.llm.common import ASCII_LOWER, map_texts, scratch, slices, table, written
 from storeops.llm.graph import components
 
 #: The query: words of a shingle; differing bits that still link.
@@ -24,10 +32,14 @@ BLOCK = 1 << 15
 #: The pipeline's stage: words of a shingle, and the Jaccard likeness of shingle sets that links, as a fraction.
 STAGE_SHINGLE = 5
 LIKE, OF = 4, 5
-#: About so many texts tell which shingles are common, those that COMMON of them hold.
-SAMPLE, COMMON = 4096, 3
+#: About so many texts tell which shingles are common, those that COMMON of them hold; at most MOST_COMMON of them.
+SAMPLE, COMMON, MOST_COMMON = 4096, 3, 1 << 18
 #: Bits of a shingle's hash that name its cell.
 CELL_BITS = 40
+#: Bits of a cell that name its slot in the table of counts; 2 ** 28 slots travel as 32 MB of bits. Parts of the table.
+LEAST_SLOT_BITS, MOST_SLOT_BITS, PART_BITS = 16, 28, 8
+#: Slots that a task counts before it hands them on; times that crowded shingles are put last and all is counted anew.
+FLUSH, ROUNDS = 1 << 20, 3
 
 
 def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
@@ -56,36 +68,80 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", width: in
     return map_texts(docs, keep, "fp long", worker, text)
 
 
+class _WordHashes(dict):
+    """XXH64 of words, remembered; forgotten all at once when there are too many."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 19:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+
+_HASH_OF_WORD = _WordHashes()
+
+
 def shingle_set(text: bytes, width: int = STAGE_SHINGLE) -> np.ndarray:
-    """The distinct shingle hashes in ascending order; a shorter text is one shingle, one without words has none."""
+    """The distinct shingle hashes in ascending order; a shorter text is one shingle, one without words has none.
+
+    A shingle's 64-bit hash is mixed from those of its words in their order.
+    """
     words = text.translate(ASCII_LOWER).split()
     if not words:
         return np.zeros(0, dtype=np.int64)
-    rows = zip(*[words[k:] for k in range(width)]) if len(words) >= width else [words]
-    hashes = (xxhash.xxh64_intdigest(b" ".join(row), 42) for row in rows)
-    return np.unique(np.fromiter(hashes, dtype=np.uint64).view(np.int64))
+    each = np.fromiter(map(_HASH_OF_WORD.__getitem__, words), np.uint64, len(words))
+    width = min(width, len(words))
+    mixed = np.full(len(words) - width + 1, width, dtype=np.uint64)
+    for k in range(width):
+        mixed = (mixed ^ each[k : len(each) - width + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    mixed = (mixed * np.uint64(0xBF58476D1CE4E5B9)) ^ (mixed >> np.uint64(32))
+    return np.unique(mixed.view(np.int64))
+
+
+@dataclass
+class Order:
+    """The order in which all sets tell their shingles: by weight, then by hash. Common shingles weigh most.
+
+    Weights come from shingles that a sample holds often and from crowded slots of the table. They are the same for
+    all sets, so no pair depends on them; they only decide how many sets share a cell.
+    """
 
+    keys: np.ndarray
+    counts: np.ndarray
+    bits: int = LEAST_SLOT_BITS
+    slots: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    crowds: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
-def rarest(shingles: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles, common ones (`keys`, ascending, and their `counts`) ordered last.
+    def slot_of(self, shingles: np.ndarray) -> np.ndarray:
+        return shingles & ((1 << self.bits) - 1)
 
-    Two sets of likeness LIKE / OF or more share one of these, whatever the order is, as long as all sets use
-    the same one: each holds all but OF - LIKE of OF parts of the other.
-    """
-    size = len(shingles)
-    weight = np.zeros(size, dtype=np.int64)
-    if len(keys) and size:
-        at = np.minimum(np.searchsorted(keys, shingles), len(keys) - 1)
-        weight = np.where(keys[at] == shingles, counts[at], 0)
-    order = np.lexsort((shingles, weight))
-    return shingles[order[: size - -(-LIKE * size // OF) + 1 if size else 0]]
+    def rarest(self, shingles: np.ndarray) -> np.ndarray:
+        """The first shingles of an ascending set, so many that two sets of likeness LIKE / OF or more share one.
 
+        Each of two such sets holds all but OF - LIKE of OF parts of the other.
+        """
+        weight = np.maximum(_looked_up(self.keys, self.counts, shingles), _looked_up(self.slots, self.crowds, self.slot_of(shingles)))
+        order, size = np.lexsort((shingles, weight)), len(shingles)
+        return shingles[order[: size - -(-LIKE * size // OF) + 1 if size else 0]]
 
-def common_shingles(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that many distinct texts of a sample hold, ascending, and their counts.
+    def with_crowds(self, slots: np.ndarray, crowds: np.ndarray) -> Order:
+        """More crowded slots; of all the MOST_COMMON with the greatest counts."""
+        every = dict(zip(self.slots.tolist(), self.crowds.tolist())) | dict(zip(slots.tolist(), crowds.tolist()))
+        rows = sorted(sorted(every.items(), key=lambda x: (-x[1], x[0]))[:MOST_COMMON])
+        return replace(self, slots=np.array([r[0] for r in rows], np.int64), crowds=np.array([r[1] for r in rows], np.int64))
 
-    They only set the order in which shingles are compared, so no pair depends on the sample.
-    """
+
+def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The value of each wanted key, 0 where it is not among the ascending keys."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], 0)
+
+
+def common_shingles(docs: DataFrame, text: str = "text") -> Order:
+    """The order by what a sample of the texts has in common."""
     part = max(1, docs.count() // SAMPLE)
     sample = docs.select(F.col(text).alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(part)) == 0).distinct()
 
@@ -93,24 +149,133 @@ def common_shingles(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np
         return lambda texts: [[shingle_set(t) for t in texts]]
 
     sets = map_texts(sample, [], "shingles array<long>", worker)
-    counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n"))
-    rows = sorted(tuple(r) for r in counts.where(F.col("n") >= COMMON).collect())
-    return np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64)
+    counts = sets.select(F.explode("shingles").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    rows = sorted(tuple(r) for r in counts.orderBy(F.col("n").desc(), "s").limit(MOST_COMMON).collect())
+    return Order(np.array([r[0] for r in rows], dtype=np.int64), np.array([r[1] for r in rows], dtype=np.int64))
+
+
+def set_id(shingles: np.ndarray) -> int:
+    """A hash of a whole set, 0 for the empty one."""
+    return xxhash.xxh64_intdigest(shingles.tobytes(), 42) - (1 << 63) if len(shingles) else 0
 
 
 def stage_prints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """`keep`, the fingerprint `fp`, and of the set of shingles a hash `sid`, the size `n` and the `rare` ones."""
-    keys, counts = common_shingles(docs, text)
+    """`keep`, the fingerprint `fp`, and of the set of shingles a hash `sid` and the size `n`."""
 
     def worker():
         def run(texts: list[bytes]) -> list:
             sets = [shingle_set(t) for t in texts]
-            sids = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) if len(s) else 0 for s in sets], dtype=np.uint64)
-            return [[fingerprint_of(t) for t in texts], sids.view(np.int64), [len(s) for s in sets], [rarest(s, keys, counts) for s in sets]]
+            return [[fingerprint_of(t) for t in texts], [set_id(s) for s in sets], [len(s) for s in sets]]
 
         return run
 
-    return map_texts(docs, keep, "fp long, sid long, n int, rare array<long>", worker, text)
+    return map_texts(docs, keep, "fp long, sid long, n int", worker, text)
+
+
+def slot_counts(texts: DataFrame, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A bit for each slot that rare shingles of two or more texts fall into; the crowded slots and their counts.
+
+    Tasks sort the slots they meet and hand them on as compressed differences, a row per part of the table; the
+    parts are counted one after the other. A text that repeats in a stretch of a task counts once there. Slots that
+    several cells share only keep more than needed.
+    """
+    width = order.bits - PART_BITS
+    frame = texts.select("text")
+    packed = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("slots", T.BinaryType())])
+    summed = T.StructType([packed["part"], T.StructField("bits", T.BinaryType()), T.StructField("slots", T.ArrayType(T.LongType())), T.StructField("counts", T.ArrayType(T.LongType()))])
+    to_packed, to_summed = to_arrow_schema(packed), to_arrow_schema(summed)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+
+        def flushed() -> pa.RecordBatch:
+            slots = np.sort(np.concatenate(held))
+            edges = np.searchsorted(slots, np.arange((1 << PART_BITS) + 1) << width)
+            some = np.flatnonzero(np.diff(edges))
+            data = [zlib.compress(np.diff(slots[edges[p] : edges[p + 1]], prepend=p << width).astype("<u4").tobytes(), 1) for p in some.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(data, pa.binary())], schema=to_packed)
+
+        for batch in batches:
+            for piece in slices(batch, 0):
+                for value in piece.column(0).cast(pa.binary()).to_pylist():
+                    shingles = shingle_set(value or b"")
+                    sid = set_id(shingles)
+                    if len(shingles) and sid not in seen:
+                        seen.add(sid)
+                        held.append(order.slot_of(order.rarest(shingles)))
+                        size += len(held[-1])
+                    if size >= FLUSH:
+                        yield flushed()
+                        held, size, seen = [], 0, set()
+        if held:
+            yield flushed()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, None
+
+        def told() -> pa.RecordBatch:
+            crowded = np.flatnonzero(counts > CROWDED)
+            columns = [[now], [np.packbits(counts > 1, bitorder="little").tobytes()], [crowded + (now << width)], [counts[crowded].astype(np.int64)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, to_summed)], schema=to_summed)
+
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if part != now:
+                    if now is not None:
+                        yield told()
+                    now, counts = part, np.zeros(1 << width, np.int64)
+                places = np.cumsum(np.frombuffer(zlib.decompress(data.as_py()), "<u4"), dtype=np.int64)
+                np.add.at(counts, places, 1)
+        if now is not None:
+            yield told()
+
+    parts = frame.mapInArrow(count, packed).repartition("part").sortWithinPartitions("part").mapInArrow(add, summed)
+    bits, slots, crowds = np.zeros((1 << order.bits) // 8, np.uint8), [], []
+    for row in parts.collect():  # 2 ** PART_BITS rows with all bits of the table, and no more crowded slots than shared ones
+        start = (row["part"] << width) // 8
+        bits[start : start + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+        slots += row["slots"]
+        crowds += row["counts"]
+    return bits, np.array(slots, np.int64), np.array(crowds, np.int64)
+
+
+def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
+    """cell, sid, n and pos: the rare shingles of each distinct set that other sets may have among theirs.
+
+    Crowded slots are put last in the order, and all is counted anew, until there are no new ones or ROUNDS are over.
+    What stays crowded then are texts without rarer shingles, as groups of near copies.
+    """
+    bits = min(MOST_SLOT_BITS, max(LEAST_SLOT_BITS, math.ceil(math.log2(4 * max(1, prefix_size)))))
+    order = replace(common_shingles(texts), bits=bits)
+    for last in range(ROUNDS):
+        table_bits, slots, crowds = slot_counts(texts, order)
+        fresh = ~np.isin(slots, order.slots)
+        if last == ROUNDS - 1 or not fresh.any():
+            break
+        order = order.with_crowds(slots[fresh], crowds[fresh])
+
+    def worker():
+        def run(batch: list[bytes]) -> list:
+            sids, sizes, cells, places = [], [], [], []
+            for text in batch:
+                shingles = shingle_set(text)
+                rare = order.rarest(shingles)
+                slot = order.slot_of(rare)
+                kept = np.flatnonzero(table_bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+                sids.append(set_id(shingles))
+                sizes.append(len(shingles))
+                cells.append(rare[kept] & ((1 << CELL_BITS) - 1))
+                places.append(kept)
+            return [sids, sizes, cells, places]
+
+        return run
+
+    rows = map_texts(texts, [], "sid long, n int, cells array<long>, places array<int>", worker)
+    rows = written(rows.where(F.size("cells") > 0).dropDuplicates(["sid"]), "rare-cells")
+    cells = rows.select("sid", "n", F.explode(F.arrays_zip("cells", "places")).alias("c"))
+    cells = cells.select(F.col("c.cells").alias("cell"), F.struct("sid", "n", F.col("c.places").alias("pos")).alias("x"))
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("m"), F.min("x").alias("leader")).where("m > 1").drop("m")
+    return written(cells.join(sizes, "cell"), "shared-cells")
 
 
 def grid_cells(classes: DataFrame) -> DataFrame:
@@ -195,75 +360,106 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): sids of pairs of `sets` of likeness LIKE / OF or more, enough to connect all of them.
 
-    `sets` has num, sid, n, rare and _row_key, one row per set; `texts` has _row_key and text. Sets that share a
-    rare shingle are joined, if their sizes and the places of the shingle leave room for enough common ones (Xiao
-    and others, 2008), and checked on all shingles. In a crowded cell each set is first checked against the
-    smallest one; two that are both linked to it need no link of their own, all others are joined there, too.
-    Cells are numbers of CELL_BITS, which shuffle small; two shingles in one cell only add pairs to check.
+    `sets` has sid, n and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare shingle
+    are compared if their sizes and the places of the shingle leave room for enough common ones (Xiao and others,
+    2008), on all shingles. In each cell they are first compared with the smallest set; two that are both linked to
+    it need no link of their own, all others are compared there, too.
     """
-    cells = sets.select("num", "n", F.posexplode("rare").alias("pos", "cell"))
-    cells = cells.withColumn("cell", F.col("cell").bitwiseAND(F.lit(2**CELL_BITS - 1)))
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1")
-    shared = written(cells.join(sizes, "cell").select("cell", "m", F.struct("num", "n", "pos").alias("x")), "shingle-cells")
+    size = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1)).first()[0] or 0
+    shared = shared_cells(texts.select("text"), size)
     a, b = F.col("a"), F.col("b")
-
-    def fits():
-        near = F.least(a["n"], b["n"]) * OF >= F.greatest(a["n"], b["n"]) * LIKE
-        return near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= (a["n"] + b["n"]) * LIKE)
+    near = F.least(a["n"], b["n"]) * OF >= F.greatest(a["n"], b["n"]) * LIKE
+    fits = near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= (a["n"] + b["n"]) * LIKE)
 
     def pairs(frame: DataFrame) -> DataFrame:
-        return frame.select(F.least("a.num", "b.num").alias("a"), F.greatest("a.num", "b.num").alias("b")).distinct()
-
-    def joined(left: DataFrame, right: DataFrame, once: Column) -> DataFrame:
-        both = left.select("cell", F.col("x").alias("a")).join(right.select("cell", F.col("x").alias("b")), "cell")
-        return pairs(both.where(once & fits()))
-
-    sparse, dense = shared.where(F.col("m") <= CROWDED), shared.where(F.col("m") > CROWDED)
-    first = joined(sparse, sparse, a["num"] < b["num"])
-    if dense.isEmpty():
-        return checked(first, sets, texts).select("a", "b")
-    leaders = dense.groupBy("cell").agg(F.min("x").alias("leader"))
-    others = written(dense.join(leaders, "cell").where("x.num <> leader.num"), "crowded")
-    star = others.select(F.col("leader").alias("a"), F.col("x").alias("b")).where(fits())
-    found = checked(first.union(pairs(star)).distinct(), sets, texts)
-    on = (F.col("leader.num") == F.col("num_a")) & (F.col("x.num") == F.col("num_b"))
-    loose = written(others.join(found.select("num_a", "num_b"), on, "left_anti"), "loose")
-    more = checked(joined(loose, others, a["num"] != b["num"]), sets, texts)
-    return found.union(more).select("a", "b")
+        return frame.where(fits).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
 
+    others = shared.where("x.sid <> leader.sid")
+    found = checked(pairs(others.select(F.col("leader").alias("a"), F.col("x").alias("b"))), sets, texts)
+    on = (F.col("leader.sid") == F.col("a")) & (F.col("x.sid") == F.col("b"))
+    loose = written(others.join(found, on, "left_anti").select("cell", F.col("x").alias("a")), "loose")
+    both = loose.join(others.select("cell", F.col("x").alias("b")), "cell").where("a.sid <> b.sid")
+    return found.union(checked(pairs(both).join(found, ["a", "b"], "left_anti"), sets, texts))
 
-def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """num_a, num_b, a and b (sids) of the pairs (a, b) of nums whose whole shingle sets are alike."""
-    pairs = written(pairs.select(F.col("a").alias("num_a"), F.col("b").alias("num_b")), "candidates")
-    nodes = pairs.select(F.col("num_a").alias("num")).union(pairs.select("num_b")).distinct()
-    nodes = sets.select("num", "sid", "_row_key").join(nodes, "num")
 
-    def worker():
-        return lambda batch: [[shingle_set(t) for t in batch]]
+def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sids whose whole shingle sets are alike.
 
-    whole = map_texts(texts.join(nodes, "_row_key"), ["num", "sid"], "shingles array<long>", worker)
-    whole = written(whole.dropDuplicates(["num"]), "shingle-sets")
-    sides = [whole.select(F.col("num").alias(f"num_{s}"), F.col("sid").alias(s), F.col("shingles").alias(f"s_{s}")) for s in "ab"]
-    common, total = F.size(F.array_intersect("s_a", "s_b")), F.size("s_a") + F.size("s_b")
-    both = pairs.join(sides[0], "num_a").join(sides[1], "num_b").where(common * (LIKE + OF) >= total * LIKE)
-    return written(both.select("num_a", "num_b", "a", "b"), "alike")
+    Only texts whose key has its bit among those of the pairs are shuffled; a pair then meets both of its texts.
+    """
+    pairs = written(pairs, "candidates")
+    nodes = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
+    nodes = written(sets.select("sid", "_row_key").join(nodes, "sid"), "nodes")
+    whole = holding(texts, nodes).join(nodes, "_row_key").dropDuplicates(["sid"])
+    whole = written(whole.select("sid", "text"), "node-texts")
+    sides = [whole.select(F.col("sid").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
+    schema = pairs.schema
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, left = None, None
+        for batch in batches:
+            for piece in slices(batch, 2):
+                keep = []
+                for first, x, y in zip(piece.column(0).to_pylist(), piece.column(2), piece.column(3)):
+                    if first != last:
+                        last, left = first, shingle_set((x.as_py() or "").encode())
+                    right = shingle_set((y.as_py() or "").encode())
+                    common = len(np.intersect1d(left, right, assume_unique=True))
+                    keep.append(common * (LIKE + OF) >= (len(left) + len(right)) * LIKE)
+                piece = piece.filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays(piece.columns[:2], schema=arrow)
+
+    both = pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "text_a", "text_b")
+    return written(both.mapInArrow(run, schema), "alike")
+
+
+def holding(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of `texts` whose _row_key falls on a bit that some key of `nodes` sets; few others come along."""
+    bits = min(MOST_SLOT_BITS - 2, max(LEAST_SLOT_BITS, math.ceil(math.log2(16 * max(1, nodes.count())))))
+    place = F.xxhash64("_row_key").bitwiseAND(F.lit((1 << bits) - 1))
+    spot = place + 1  # the bitmap functions count from one
+    maps = nodes.groupBy(F.bitmap_bucket_number(spot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for bucket, part in maps.collect():  # at most 2 ** bits / 32,768 rows of 4 KB
+        out[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(part, np.uint8)
+    frame = texts.select("_row_key", "text", place.alias("_place"))
+    schema = frame.drop("_place").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(2).to_numpy()
+            kept = batch.filter(pa.array((out[at >> 3] >> (at & 7).astype(np.uint8) & 1) == 1))
+            yield pa.RecordBatch.from_arrays(kept.columns[:2], schema=to_arrow_schema(schema))
+
+    return frame.mapInArrow(run, schema)
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component of near duplicates, all columns as they are.
 
-    Two texts are linked if their fingerprints differ in RADIUS or fewer bits, or if their sets of STAGE_SHINGLE
-    words have a Jaccard likeness of LIKE / OF or more. The row with the smallest doc_id stays (null ids come
-    last; of rows that share an id, the one whose text has the smallest hash, and of equal rows one). Equal sets
-    are one node of the graph.
+    Two texts are linked if their fingerprints differ in RADIUS or fewer bits (by the popcount grid), or if their
+    sets of STAGE_SHINGLE words have a Jaccard likeness of LIKE / OF or more (by rare shingles). The row with the
+    smallest doc_id stays (null ids come last; of rows that share an id, the one whose text has the smallest hash, and
+    of those equal in both, the one whose whole row has). Equal sets are one node of the graph. Tables made on the way
+    are deleted at the end.
     """
     key = F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text)))
-    keyed = docs.withColumn("_row_key", key)
-    texts = keyed.select(F.col(doc_id).alias("doc_id"), "_row_key", F.col(text).alias("text"))
+    keyed = docs.select(key.alias("_row_key"), F.struct(*docs.columns).alias("_whole"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), key.alias("_row_key"), F.col(text).alias("text"))
+    with scratch(docs.sparkSession):
+        kept = _kept_keys(texts)
+    one = Window.partitionBy("_row_key").orderBy(F.xxhash64("_whole"))
+    stay = keyed.join(kept, "_row_key", "left_semi").withColumn("_copy", F.row_number().over(one))
+    return stay.where("_copy = 1").select("_whole.*")
+
+
+def _kept_keys(texts: DataFrame) -> DataFrame:
+    """The _row_key of the first row of each component of `texts` (doc_id, _row_key, text)."""
     prints = written(stage_prints(texts, ["doc_id", "_row_key"]), "simhash")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row_key")
-    sets = prints.groupBy("sid").agg(F.min(rank).alias("first"), F.first("n").alias("n"), F.first("rare").alias("rare"))
-    sets = written(sets.select(F.monotonically_increasing_id().alias("num"), "sid", "first", "n", "rare", F.col("first._row_key").alias("_row_key")), "sets")
+    sets = prints.groupBy("sid").agg(F.min(rank).alias("first"), F.first("n").alias("n"))
+    sets = written(sets.select("sid", "first", "n", F.col("first._row_key").alias("_row_key")), "sets")
     members = prints.select("fp", "sid").distinct()
     classes = written(members.groupBy("fp").agg(F.min("sid").alias("head")), "classes")
     same = members.join(classes, "fp").where("sid <> head").select(F.col("head").alias("a"), F.col("sid").alias("b"))
@@ -273,10 +469,7 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     roots = written(components(edges), "roots")
     whole = sets.join(roots, sets["sid"] == roots["node"], "left")
     kept = whole.groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("first").alias("first"))
-    kept = written(kept.select(F.col("first._row_key").alias("_row_key")), "kept")
-    stay = keyed.join(kept, "_row_key", "left_semi")
-    one = Window.partitionBy("_row_key").orderBy("_row_key")
-    return stay.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
+    return written(kept.select(F.col("first._row_key").alias("_row_key")), "kept", lasting=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

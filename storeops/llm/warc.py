@@ -36,17 +36,24 @@ def base32_sha1(data: Column) -> Column:
     return F.translate(F.concat(*groups), _BASE32HEX, _BASE32)
 
 
+_KEY = ["page_id", "sum", "bytes"]
+
+
+def _payload_key(payload: str) -> list[Column]:
+    body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
+    return [F.sha2(body, 256).alias("sum"), F.octet_length(body).alias("bytes")]
+
+
 def plan_records(pages: DataFrame, page_id: str, payload: str, least: int) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload an earlier page already has.
+    """(page_id, sum, bytes, refers_to) of the pages whose payload an earlier page already has.
 
     Only digests and lengths are grouped. Pages with a null id are always responses.
     """
-    body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    keys = pages.select(F.col(page_id).alias("page_id"), F.sha2(body, 256).alias("sum"), F.octet_length(body).alias("bytes"))
+    keys = pages.select(F.col(page_id).alias("page_id"), *_payload_key(payload))
     keys = keys.where(F.col("bytes") >= least)
     firsts = keys.groupBy("sum", "bytes").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
     later = keys.join(firsts, ["sum", "bytes"]).where("page_id <> refers_to")
-    return written(later.select("page_id", "refers_to").distinct(), "revisits")
+    return written(later.select(*_KEY, "refers_to").distinct(), "revisits")
 
 
 def write_warc(
@@ -57,12 +64,13 @@ def write_warc(
     Of records with equal payloads of at least `least` bytes that with the smallest id is the response, the
     others are revisits without a payload. Records end with two line breaks, which is the text writer's line
     separator; so the archives are written by Spark, a file per task. Null urls give no target header, line
-    breaks in urls are escaped.
+    breaks in urls are escaped. Rows that share an id are records of their own: each is a revisit or a response by
+    its own payload, and a revisit's digest tells which of several records of an id it refers to.
     """
     revisits = plan_records(pages, page_id, payload, least)
-    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("body"))
-    responses = rows.join(revisits.select("page_id"), "page_id", "left_anti").select("*", F.lit(None).cast("long").alias("refers_to"))
-    again = rows.join(revisits, "page_id").withColumnRenamed("refers_to", "to")
+    rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("body"), *_payload_key(payload))
+    responses = rows.join(revisits.select(*_KEY), _KEY, "left_anti").select("*", F.lit(None).cast("long").alias("refers_to"))
+    again = rows.join(revisits, _KEY).withColumnRenamed("refers_to", "to")
     again = again.select("page_id", "url", "body", F.col("to").alias("refers_to"))
     every = responses.select("page_id", "url", "body", "refers_to").unionByName(again)
     every.select(_record().alias("value")).write.option("lineSep", END.decode()).text(path)
@@ -130,6 +138,7 @@ CANDIDATE = T.StructType(
         T.StructField("record_id", T.StringType()),
         T.StructField("refers_to", T.StringType()),
         T.StructField("uri", T.StringType()),
+        T.StructField("told_digest", T.StringType()),  # the head's, of the full payload also where it is a revisit
         T.StructField("payload_bytes", T.LongType()),
         T.StructField("payload_digest", T.StringType()),
         T.StructField("payload", T.BinaryType()),
@@ -164,7 +173,7 @@ class _Split:
             if fields.get(b"content-type", b"").startswith(b"application/http"):
                 stop = data.find(END, begin - at)
                 start = at + stop + len(END) if stop >= 0 and at + stop + len(END) <= end else begin
-            text = [fields.get(n, b"").decode("utf-8", "replace") or None for n in (b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-target-uri")]
+            text = [fields.get(n, b"").decode("utf-8", "replace") or None for n in (b"warc-type", b"warc-record-id", b"warc-refers-to", b"warc-target-uri", b"warc-payload-digest")]
             self.found.append([self.file, self.block, None, at, end + len(END), None, start, *text, end - start, None, None])
             if end <= self.at:
                 self._digest(-1, data[start - at : end - at])
@@ -190,7 +199,7 @@ class _Split:
         leaves: dict[int, int | None] = {}
         for row in reversed(self.found):
             leaves[row[3]] = row[5] = row[4] if row[4] >= self.at else leaves.get(row[4])
-        return [*self.found, [self.file, self.block, self.at, *[None] * 11]]
+        return [*self.found, [self.file, self.block, self.at, *[None] * 12]]
 
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
@@ -283,8 +292,8 @@ def reachable(rows: DataFrame) -> DataFrame:
 def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """The records of the archives below `path`.
 
-    file, at (offset), next, record_type, record_id, refers_to, uri, payload_bytes, payload_digest (bare
-    base32 SHA-1 of the payload as read) and, if asked for, the payload. A magic inside a payload yields no
+    file, at (offset), next, record_type, record_id, refers_to, uri, told_digest (as the head spells it),
+    payload_bytes, payload_digest (bare base32 SHA-1 of the payload as read) and, if asked for, the payload. A magic inside a payload yields no
     record, also where the payload reaches over splits. What comes after a broken record of a file is not
     reached. Empty archives give no rows.
     """
@@ -301,7 +310,7 @@ def read_warc(spark: SparkSession, path: str, payload: bool = False) -> DataFram
             pieces = pieces.withColumn("payload", F.lit(None).cast("binary"))
         records = records.join(pieces.select("file", "at", F.col("digest").alias("_digest"), F.col("payload").alias("_payload")), ["file", "at"], "left")
         records = records.withColumn("payload_digest", F.coalesce("payload_digest", "_digest")).withColumn("payload", F.coalesce("payload", "_payload"))
-    columns = ["file", "at", "next", "record_type", "record_id", "refers_to", "uri", "payload_bytes", "payload_digest"]
+    columns = ["file", "at", "next", "record_type", "record_id", "refers_to", "uri", "told_digest", "payload_bytes", "payload_digest"]
     return records.select(*columns, *(["payload"] if payload else []))
 
 
@@ -359,7 +368,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = ["page_id", "payload_bytes", "payload_digest", "record_type"]
     responses = records.where("record_type = 'response'").select(*own, F.lit(None).cast("long").alias("refers_to"))
     originals = responses.select(F.col("page_id").alias("to"), "payload_bytes", "payload_digest").distinct()
-    revisits = records.where("record_type = 'revisit'").select("page_id", "record_type", "to").join(originals, "to")
+    told = F.regexp_replace("told_digest", "^sha1:", "").alias("payload_digest")
+    revisits = records.where("record_type = 'revisit'").select("page_id", "record_type", "to", told).join(originals, ["to", "payload_digest"])
     return responses.unionByName(revisits.select(*own, F.col("to").alias("refers_to")))
 
 

@@ -62,6 +62,43 @@ def test_query_finds_all_exact_passages(spark):
             assert r.distance <= len(dict(items)[r.item_id]) // d.CHARS_PER_EDIT
 
 
+def test_query_against_the_dynamic_program(spark, tmp_path):
+    """All rows of the query: a place for each pair of text and item whose least distance is within the budget."""
+    rng = random.Random(6)
+    words = [f"{a}{b}" for a in ("ba", "ko", "li", "mu", "ze") for b in ("n", "st", "ra", "")]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([3, 12, 30])))) for i in range(12)]
+    texts = []
+    for i in range(60):
+        text = " ".join(rng.choices(words, k=40))
+        for _, item in rng.sample(items, rng.choice([0, 1, 2])):
+            edited = list(item.upper() if i % 3 else item)
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                at = rng.randrange(len(edited))
+                edited[at : at + 1] = rng.choice([[], ["q"], [edited[at], "z"]])
+            text += rng.choice([" ", "\n", ""]) + "".join(edited) + " " + " ".join(rng.choices(words, k=9))
+        texts.append((i, text))
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = d.op7_decontaminate(spark, str(tmp_path)).collect()
+    best = {(i, n): min(table_of(d.fold(t.encode()), d.fold(x.encode()), False)) for i, x in texts for n, t in items}
+    budget = {n: len(t) // d.CHARS_PER_EDIT for n, t in items}
+    want = {pair for pair, distance in best.items() if distance <= budget[pair[1]]}
+    assert {(r.doc_id, r.item_id) for r in rows} == want and any(best[p] for p in want)
+    closest = {}
+    for r in rows:
+        item, text = d.fold(dict(items)[r.item_id].encode()), d.fold(dict(texts)[r.doc_id].encode())
+        assert table_of(item, text[r.start : r.end], True)[-1] == r.distance
+        closest[r.doc_id, r.item_id] = min(r.distance, closest.get((r.doc_id, r.item_id), 99))
+    assert closest == {p: best[p] for p in want}
+
+
+def test_an_item_without_id_still_contaminates(spark, docs_of):
+    passage = "the quick brown fox jumps over the lazy dog and runs far away"
+    items = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    docs = docs_of(f"so {passage} it is", "clean")
+    assert [r.text for r in d.keep_clean(docs, items).collect()] == ["clean"] and d.find_items(docs, items, ["doc_id"]).count() == 0
+
+
 def test_awkward_rows(spark, docs_of, awkward, clash, empty, monkeypatch):
     passage = "the quick brown fox jumps over the lazy dog and runs far away"
     items = spark.createDataFrame([(1, passage), (1, passage), (2, None), (3, ""), (None, "x"), (4, "é" * 30)], "item_id long, text string")

@@ -81,3 +81,26 @@ def test_awkward_rows(spark, awkward, clash, empty, docs_of, tmp_path):
     (row,) = m.op2_minhash(spark, str(tmp_path / "c")).collect()
     assert row.near_next == 1.0 and row.edited_sha256 == sha(edited("only one here", "only one here"))
     assert m.fingerprints(clash, ["doc_id", "score"]).count() == 7
+
+
+def test_an_outlier_and_clustered_ids_make_no_large_range(spark):
+    ids = [2**60, -(2**62), *range(10_000), *(7 << 40 | k for k in range(10_000))]
+    frame = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    edges = []
+    real = m.range_of
+    try:
+        m.range_of = lambda number, cut: edges.extend(cut) or real(number, cut)
+        got = {r.doc_id for r in m.with_next(frame, []).collect()}
+    finally:
+        m.range_of = real
+    sizes = frame.groupBy(real(F.col("doc_id"), edges).alias("b")).count().collect()
+    assert got == set(ids) and max(r["count"] for r in sizes) <= 2 * len(ids) / len(sizes) and len(sizes) > 10
+    plan = m.with_next(frame, [])._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_ranges(spark):
+    for edges in ([], [3], [1, 2, 5, 9, 40], list(range(0, 300, 3))):
+        numbers = [None, -(2**63), 0, 1, 2, 4, 9, 39, 40, 299, 2**62]
+        got = spark.createDataFrame([(n,) for n in numbers], "n long").select("n", m.range_of(F.col("n"), edges).alias("r")).collect()
+        assert all(r.r == (-1 if r.n is None else sum(e <= r.n for e in edges)) for r in got)

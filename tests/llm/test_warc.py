@@ -87,3 +87,11 @@ def test_awkward_pages(spark, tmp_path):
     }
     frame.limit(0).write.parquet(str(tmp_path / "b" / "pages.parquet"))
     assert warc.op1_warc(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_an_id_that_repeats_with_unlike_payloads(spark, tmp_path):
+    rows = [(1, "a"), (5, "a"), (5, "b"), (1, "c"), (7, "c"), (7, "b"), (7, "d"), (5, "b")]
+    spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted((r.page_id, r.payload_digest, r.record_type, r.refers_to or 0) for r in warc.op1_warc(spark, str(tmp_path)).collect())
+    first = {h: min(i for i, x in rows if x == h) for _, h in rows}
+    assert got == sorted((i, digest(h.encode()), *(("response", 0) if first[h] == i else ("revisit", first[h]))) for i, h in rows)
