@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -12,7 +12,7 @@ from storeops.operators import kpi, quality
 from storeops.plans.warehouse import Rules, keep_in, published_warehouse
 from storeops.fixed_values import EXPECTED_LOADS
 from storeops.sources.landing import land_all, manifest_check, row_counts
-from storeops.sources.tables import append_log, read_days, write_table
+from storeops.sources.tables import append_log, read_days, read_latest, write_table
 
 
 def refresh(
@@ -27,13 +27,15 @@ def refresh(
     model: str = "",
     run_at: datetime | None = None,
     expected_loads: Sequence[tuple[str, int]] = tuple(EXPECTED_LOADS),
+    multiline: bool | Mapping[str, bool] = True,
 ) -> dict[str, DataFrame]:
     """Rebuild every table below `core_folder`; safe to run again, the check log keeps its history.
 
     Each step writes its tables and the next reads them back: columns and files are pruned per
     reader, and joins know the real sizes. `notes` (location_id, recommendation_text) are attached
     to the prompts they answer. Beside the tables come the load manifest against `expected_loads`, the row
-    counts, the monthly reconciliation and the latest check run.
+    counts, the monthly reconciliation and the latest check run. A table is replaced in one step, and a run that is
+    repeated with the same `run_at` replaces its own rows of the check log. `multiline` is that of `land_all`.
     """
     core_folder = core_folder.rstrip("/")
     stamp = run_at or datetime.now()
@@ -43,7 +45,7 @@ def refresh(
         return name, write_table(df, f"{core_folder}/raw_{name}")
 
     with ThreadPoolExecutor(max_workers=4) as pool:
-        raw = dict(pool.map(keep_raw, land_all(spark, landing_folder, stamp).items()))
+        raw = dict(pool.map(keep_raw, land_all(spark, landing_folder, stamp, multiline).items()))
 
     warehouse = published_warehouse(spark, raw, rules, keep_in(core_folder))
     core = warehouse.build_all()
@@ -73,7 +75,7 @@ def refresh(
     tables["row_counts"] = write_table(row_counts(core), f"{core_folder}/row_counts")
     months = quality.reconcile_monthly(raw["pos_sales"], core["fact_sales_item_daypart"])
     tables["reconciliation"] = write_table(months, f"{core_folder}/reconciliation")
-    tables["dq_latest"] = quality.latest_run(log)
+    tables["dq_latest"] = quality.latest_run(read_latest(spark, f"{core_folder}/dq_results"))
     if notes is not None:
         written = kpi.recommendations(prompts, notes, model, stamp)
         tables["ai_recommendations"] = write_table(written, f"{core_folder}/ai_recommendations")

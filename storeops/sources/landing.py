@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 from storeops.fixed_values import EXPECTED_LOADS
 from storeops.sources.tables import literal_rows
 from storeops.schemas import EXTRACTS, FILE_PATTERNS, text_schema
+from storeops.sources.quoted_csv import fields, records
+
+CSV_OPTIONS = {
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def land_extract(
@@ -20,39 +29,53 @@ def land_extract(
     pattern: str | None = None,
     loaded_at: datetime | None = None,
     multiline: bool = True,
+    path_regex: str | None = None,
 ) -> DataFrame:
     """All files of one extract as an all-text table.
 
-    Columns bind by position, the header line is skipped, an empty field is NULL, spaces stay, and
-    gzip is read as is, also below subfolders. Gzip files cannot be split: for large loads deliver them in
-    many parts. Line breaks inside quotes belong to the field, which makes a file one task; files known to
-    hold none can be read with `multiline` off, and are then split.
+    Columns bind by position, the header line is skipped, an empty field is NULL, spaces stay, and gzip is read as
+    is, also below subfolders. Files are picked by a glob on their name (`pattern`), or by a regular expression that
+    must match the whole path below the folder (`path_regex`); a pick without any file is an empty table. Line breaks
+    inside quotes belong to the field; files are split all the same, after a scan for the ranges that begin inside
+    quotes. `multiline` off saves that scan for files known to hold none. Gzip files cannot be split: for large loads
+    deliver them in many parts.
     """
-    rows = (
-        spark.read.schema(text_schema(extract))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("multiLine", multiline)
-        .option("pathGlobFilter", pattern or FILE_PATTERNS[extract])
-        .option("recursiveFileLookup", True)
-        .csv(folder)
-    )
-    return rows.select(
-        *EXTRACTS[extract],
-        F.col("_metadata.file_name").alias("_source_file"),
-        F.lit(loaded_at or datetime.now()).alias("_loaded_at"),
-    )
+    paths: list[str] | str = folder
+    glob = pattern or FILE_PATTERNS[extract]
+    if path_regex is not None:
+        paths, glob = matching_paths(spark, folder, path_regex), None
+    if not paths:
+        rows = spark.createDataFrame([], text_schema(extract)).withColumn("_source_file", F.lit(None).cast("string"))
+    elif multiline:
+        names = EXTRACTS[extract]
+        found = fields(records(spark, paths, glob), len(names))
+        rows = found.select(*[F.col("fields")[i].alias(n) for i, n in enumerate(names)], F.col("name").alias("_source_file"))
+    else:
+        reader = spark.read.schema(text_schema(extract)).options(**CSV_OPTIONS, header="true", enforceSchema="true", recursiveFileLookup="true")
+        reader = reader if glob is None else reader.option("pathGlobFilter", glob)
+        rows = reader.csv(paths).select(*EXTRACTS[extract], F.col("_metadata.file_name").alias("_source_file"))
+    return rows.select(*EXTRACTS[extract], "_source_file", F.lit(loaded_at or datetime.now()).alias("_loaded_at"))
+
+
+def land_all(
+    spark: SparkSession, folder: str, loaded_at: datetime | None = None, multiline: bool | Mapping[str, bool] = True
+) -> dict[str, DataFrame]:
+    """The eleven extracts, stamped with one load time; `multiline` may be told per extract, the others have it on."""
+    stamp = loaded_at or datetime.now()
+    told = {name: multiline for name in EXTRACTS} if isinstance(multiline, bool) else multiline
+    return {name: land_extract(spark, folder, name, loaded_at=stamp, multiline=told.get(name, True)) for name in EXTRACTS}
 
 
-def land_all(spark: SparkSession, folder: str, loaded_at: datetime | None = None) -> dict[str, DataFrame]:
-    """The eleven extracts, stamped with one load time."""
-    stamp = loaded_at or datetime.now()
-    return {name: land_extract(spark, folder, name, loaded_at=stamp) for name in EXTRACTS}
+def matching_paths(spark: SparkSession, folder: str, regex: str) -> list[str]:
+    """The files below a folder whose path from there on matches a regular expression as a whole.
+
+    Only the file system's listing is read. The driver holds the paths, as it does for any scan.
+    """
+    base = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    root = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base).toUri().getPath().rstrip("/") + "/"
+    below = F.substring_index(F.regexp_replace("path", "^[a-z0-9]+:(?://[^/]*)?", ""), root, -1)
+    listed = list_landing_files(spark, folder).where(below.rlike(f"^(?:{regex})$"))
+    return [r["path"] for r in listed.select("path").collect()]
 
 
 def list_landing_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:

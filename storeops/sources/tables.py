@@ -14,8 +14,10 @@ from storeops.functions.columns import in_days
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# The folder column of tables laid out by month.
+# The folder columns of tables laid out by month and of logs, and the name of a table's version marks.
 MONTH = "year_month"
+RUN = "run"
+LIVE = "_live"
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], *names: str) -> DataFrame:
@@ -33,18 +35,65 @@ def literal_rows(spark: SparkSession, rows: Sequence[Sequence], *names: str) ->
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
 
 
-def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
-    """Replace the table at `path` and return it as read back.
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-    `month_of` names a date column: the table is then laid out in one folder per month. The
-    rebalance hint lets adaptive execution cut a heavy month into several files.
-    """
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies right below a folder; none if there is no such folder."""
+    files, place = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in files.listStatus(place)) if files.exists(place) else []
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """The versions of a table that were written to their end, the oldest first."""
+    marks = [name.split(".", 2) for name in _children(spark, path) if name.startswith(f"{LIVE}.")]
+    return sorted((int(number), version) for _, number, version in marks)
+
+
+def live_path(spark: SparkSession, path: str) -> str:
+    """Where the rows of a table are: its newest version, or the folder itself if it was written as a plain one."""
+    versions = _versions(spark, path)
+    return f"{path}/{versions[-1][1]}" if versions else path
+
+
+def _write(df: DataFrame, path: str, month_of: str | None) -> None:
     if month_of is None:
         df.write.mode("overwrite").parquet(path)
     else:
         monthly = df.withColumn(MONTH, F.date_format(month_of, "yyyy-MM")).hint("rebalance", MONTH)
         monthly.write.mode("overwrite").partitionBy(MONTH).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def write_table(df: DataFrame, path: str, month_of: str | None = None) -> DataFrame:
+    """Replace the table at `path` in one step and return it as read back.
+
+    `month_of` names a date column: the table is then laid out in one folder per month. The rebalance hint lets
+    adaptive execution cut a heavy month into several files. The rows go to a folder of their own, which counts once
+    its mark is there; making the mark is the only step that others see. A write that fails leaves the table as it
+    was, and readers keep the version they opened: the one before stays until the next write. Of two writers at a
+    time one fails.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    before = _versions(spark, path)
+    number = before[-1][0] + 1 if before else 1
+    version = f"data-{number:08d}-{uuid.uuid4().hex}"
+    _write(df, f"{path}/{version}", month_of)
+    files, mark = _file_system(spark, f"{path}/{LIVE}.{number:08d}.{version}")
+    if any(n >= number for n, _ in _versions(spark, path)) or not files.createNewFile(mark):
+        raise RuntimeError(f"another writer has replaced {path} meanwhile")
+    for number, old in before[:-1]:
+        for name in (f"{LIVE}.{number:08d}.{old}", old):
+            files.delete(_file_system(spark, f"{path}/{name}")[1], True)
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}").select(*df.columns)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a table that `write_table` has written."""
+    rows = spark.read.parquet(live_path(spark, path))
+    return rows.drop(MONTH)
 
 
 def read_days(spark: SparkSession, path: str, day: str, start: str, end: str | None) -> DataFrame:
@@ -55,13 +104,28 @@ def read_days(spark: SparkSession, path: str, day: str, start: str, end: str | N
     wanted = (F.col(MONTH) >= start[:7]) & in_days(F.col(day), start, end)
     if end is not None:
         wanted = wanted & (F.col(MONTH) <= end[:7])
-    return spark.read.parquet(path).filter(wanted).drop(MONTH)
+    return spark.read.parquet(live_path(spark, path)).filter(wanted).drop(MONTH)
+
+
+def append_log(df: DataFrame, path: str, run_at: str = "run_at") -> DataFrame:
+    """Add the rows of a run to a history table, created on first use, and return all of it.
+
+    Each run has a folder named by its time stamp. A run that is repeated, after a failure or by a retry, replaces
+    its own folder and so is in the history once.
+    """
+    runs = df.withColumn(RUN, F.date_format(run_at, "yyyyMMdd'T'HHmmssSSSSSS"))
+    runs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
+    return _log(df.sparkSession, path).select(*df.columns)
+
+
+def _log(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(path)
 
 
-def append_log(df: DataFrame, path: str) -> DataFrame:
-    """Add rows to a history table, created on first use."""
-    df.write.mode("append").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a history's newest run. It is found by the folders' names, and only that folder is read."""
+    runs = [name for name in _children(spark, path) if name.startswith(f"{RUN}=")]
+    return spark.read.parquet(f"{path}/{max(runs)}" if runs else path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -119,7 +183,7 @@ def stage(df: DataFrame, key: str, month_of: str | None = None) -> DataFrame:
     if mine:
         try:
             path = new_folder(spark, "stage")
-            write_table(df, path, month_of)
+            _write(df, path, month_of)
             done.set_result(path)
         except BaseException as error:
             _STAGED.pop(name, None)

@@ -1,6 +1,7 @@
 """CSV extracts through landing, warehouse, quality log, KPI rows and notes, with the published aliases."""
 
 import gzip
+import os
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -12,7 +13,7 @@ from storeops.plans.warehouse import Rules, keep_in, published_warehouse
 from storeops.schemas import EXTRACTS
 from storeops.sources import landing
 from storeops.plans.refresh import refresh
-from storeops.sources.tables import append_log, export_csv, literal_rows, read_days, read_export, shared_folder, stage, staged_path, write_table
+from storeops.sources.tables import append_log, export_csv, literal_rows, live_path, read_days, read_export, read_latest, read_table, shared_folder, stage, staged_path, write_table
 
 CSV = {
     "pos_sales": [
@@ -199,7 +200,7 @@ def test_month_layout_reads_back_the_same_columns(spark, tmp_path):
     df = spark.createDataFrame([(date(2025, 1, 1), 1), (date(2025, 2, 1), 2), (None, 3)], "d date, v int")
     back = write_table(df, str(tmp_path / "t"), month_of="d")
     assert back.columns == ["d", "v"] and sorted(r.v for r in back.collect()) == [1, 2, 3]
-    assert (tmp_path / "t" / "year_month=2025-01").exists()
+    assert os.path.exists(os.path.join(live_path(spark, str(tmp_path / "t")), "year_month=2025-01"))
 
 
 def test_only_the_months_asked_for_are_opened(spark, tmp_path):
@@ -223,7 +224,7 @@ def test_refresh_writes_everything_and_keeps_the_log(spark, folder, tmp_path):
     assert tables["dq_latest"].count() == 24 and tables["load_manifest"].count() == 11
     assert {r.table_name: r.row_count for r in tables["row_counts"].collect()}["fact_sales_item_daypart"] == 3
     assert [r.year_month for r in tables["reconciliation"].collect()] == ["2026-03"]
-    raw = {name: spark.read.parquet(f"{tmp_path}/core/raw_{name}") for name in quality.STORE_EXTRACTS}
+    raw = {name: read_table(spark, f"{tmp_path}/core/raw_{name}") for name in quality.STORE_EXTRACTS}
     for name, profile in quality.profiles(raw, tables).items():
         assert profile._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1, name
 
@@ -263,3 +264,27 @@ def test_reading_days_opens_only_their_months(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year_month" in plan
     assert len(some.inputFiles()) == 2 or "2025-03" in plan
     assert read_days(spark, str(tmp_path / "t"), "d", "2025-12-30", None).count() == 2
+
+
+def test_a_write_that_fails_midway_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = write_table(spark.range(5), path)
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("stop")).cast("long")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        write_table(broken.repartition(4), path)
+    assert sorted(r.id for r in read_table(spark, path).collect()) == [0, 1, 2, 3, 4]
+    second = write_table(first.select((F.col("id") + 10).alias("id")), path)  # a table may be made from itself
+    assert [sorted(r.id for r in x.collect()) for x in (first, second, read_table(spark, path))] == [[0, 1, 2, 3, 4], *[[10, 11, 12, 13, 14]] * 2]
+    write_table(spark.range(2), path)
+    assert read_table(spark, path).count() == 2 and second.count() == 5
+    assert sum(name.startswith("data-") for name in os.listdir(path)) <= 3  # two versions, and what the failed write left
+
+
+def test_a_run_that_is_repeated_is_in_the_log_once(spark, tmp_path):
+    path, day = str(tmp_path / "log"), datetime(2026, 1, 1)
+    for run_at, n in ((day, 24), (datetime(2026, 2, 1), 24), (day, 24)):
+        log = append_log(spark.range(n).select(F.lit(run_at).alias("run_at"), "id"), path)
+    assert log.count() == 48 and log.columns == ["run_at", "id"]
+    latest = read_latest(spark, path)
+    assert {r.run_at for r in latest.select("run_at").collect()} == {datetime(2026, 2, 1)} and latest.count() == 24
+    assert all("run=20260201" in f for f in latest.inputFiles())
