@@ -39,7 +39,7 @@ CELL_BITS = 40
 #: Bits of a cell that name its slot in the table of counts; 2 ** 28 slots travel as 32 MB of bits. Parts of the table.
 LEAST_SLOT_BITS, MOST_SLOT_BITS, PART_BITS = 16, 28, 8
 #: Slots that a task counts before it hands them on; times that crowded shingles are put last and all is counted anew.
-FLUSH, ROUNDS = 1 << 20, 3
+FLUSH, ROUNDS = 1 << 20, 2
 
 
 def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
@@ -363,7 +363,7 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     `sets` has sid, n and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare shingle
     are compared if their sizes and the places of the shingle leave room for enough common ones (Xiao and others,
     2008), on all shingles. In each cell they are first compared with the smallest set; two that are both linked to
-    it need no link of their own, all others are compared there, too.
+    it need no link of their own, all others are compared there, too, unless the links found so far connect them.
     """
     size = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1)).first()[0] or 0
     shared = shared_cells(texts.select("text"), size)
@@ -379,7 +379,11 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     on = (F.col("leader.sid") == F.col("a")) & (F.col("x.sid") == F.col("b"))
     loose = written(others.join(found, on, "left_anti").select("cell", F.col("x").alias("a")), "loose")
     both = loose.join(others.select("cell", F.col("x").alias("b")), "cell").where("a.sid <> b.sid")
-    return found.union(checked(pairs(both).join(found, ["a", "b"], "left_anti"), sets, texts))
+    roots = written(components(found), "roots")
+    sides = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
+    open_ = pairs(both).join(sides[0], "a", "left").join(sides[1], "b", "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return found.union(checked(open_.where(apart).select("a", "b"), sets, texts))
 
 
 def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:

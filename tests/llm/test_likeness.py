@@ -64,3 +64,16 @@ def test_edited_copies_around_the_bound(docs_of, monkeypatch, crowded):
     kept, n = slow_kept(list(enumerate(texts)))
     assert n > 20
     assert sorted(r.doc_id for r in simhash.keep_first(docs_of(*texts)).collect()) == kept
+
+
+def test_many_unlike_texts_with_one_rare_line(docs_of, monkeypatch):
+    """A line that the sample cannot know: its cells are crowded, are put last, and next to no pairs are compared."""
+    monkeypatch.setattr(simhash, "COMMON", 10**9)
+    rng = random.Random(8)
+    line = " ".join(f"line{i}" for i in range(14))
+    texts = [f"{' '.join(f'w{rng.randrange(10**6)}' for _ in range(40))} {line}" for _ in range(5000)]
+    compared = []
+    real = simhash.checked
+    monkeypatch.setattr(simhash, "checked", lambda pairs, sets, texts: compared.append(pairs.count()) or real(pairs, sets, texts))
+    assert simhash.keep_first(docs_of(*texts, texts[7] + " more")).count() == 5000
+    assert sum(compared) < 50
