@@ -34,10 +34,12 @@ STAGE_SHINGLE = 5
 LIKE, OF = 4, 5
 #: About so many texts tell which shingles are common, those that COMMON of them hold; at most MOST_COMMON of them.
 SAMPLE, COMMON, MOST_COMMON = 4096, 3, 1 << 18
-#: Bits of a shingle's hash that name its cell.
-CELL_BITS = 40
-#: Bits of a cell that name its slot in the table of counts; 2 ** 28 slots travel as 32 MB of bits. Parts of the table.
+#: Bits of a shingle's hash that name its slot in the table of counts; 2 ** 28 slots travel as 32 MB of bits. Parts of the table.
 LEAST_SLOT_BITS, MOST_SLOT_BITS, PART_BITS = 16, 28, 8
+#: The smallest sets of a cell, with which all its sets are compared before any others are.
+LEADERS = 32
+#: So many of a set's cells that are larger than that tell where two sets meet first.
+FIRST_CELLS = 16
 #: Slots that a task counts before it hands them on; times that crowded shingles are put last and all is counted anew.
 FLUSH, ROUNDS = 1 << 20, 2
 
@@ -240,7 +242,7 @@ def slot_counts(texts: DataFrame, order: Order) -> tuple[np.ndarray, np.ndarray,
 
 
 def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
-    """cell, sid, n and pos: the rare shingles of each distinct set that other sets may have among theirs.
+    """cell, its size m, and x (sid, n, pos): rare shingles of each distinct set that other sets have among theirs.
 
     Crowded slots are put last in the order, and all is counted anew, until there are no new ones or ROUNDS are over.
     What stays crowded then are texts without rarer shingles, as groups of near copies.
@@ -264,7 +266,7 @@ def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
                 kept = np.flatnonzero(table_bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
                 sids.append(set_id(shingles))
                 sizes.append(len(shingles))
-                cells.append(rare[kept] & ((1 << CELL_BITS) - 1))
+                cells.append(rare[kept])
                 places.append(kept)
             return [sids, sizes, cells, places]
 
@@ -274,7 +276,7 @@ def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
     rows = written(rows.where(F.size("cells") > 0).dropDuplicates(["sid"]), "rare-cells")
     cells = rows.select("sid", "n", F.explode(F.arrays_zip("cells", "places")).alias("c"))
     cells = cells.select(F.col("c.cells").alias("cell"), F.struct("sid", "n", F.col("c.places").alias("pos")).alias("x"))
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("m"), F.min("x").alias("leader")).where("m > 1").drop("m")
+    sizes = cells.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1")
     return written(cells.join(sizes, "cell"), "shared-cells")
 
 
@@ -362,8 +364,10 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
     `sets` has sid, n and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare shingle
     are compared if their sizes and the places of the shingle leave room for enough common ones (Xiao and others,
-    2008), on all shingles. In each cell they are first compared with the smallest set; two that are both linked to
-    it need no link of their own, all others are compared there, too, unless the links found so far connect them.
+    2008), on all shingles. First each set of a cell is compared with the LEADERS smallest ones, which are all of most
+    cells. In larger cells the links found so far connect groups of near copies. Only sets outside of a cell's greatest
+    such group meet the rest of the cell, and only those that no links connect are compared. Of the larger cells that
+    two sets share the first in the order counts; where it is not among the FIRST_CELLS of both, all do.
     """
     size = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1)).first()[0] or 0
     shared = shared_cells(texts.select("text"), size)
@@ -374,16 +378,28 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     def pairs(frame: DataFrame) -> DataFrame:
         return frame.where(fits).select(F.least("a.sid", "b.sid").alias("a"), F.greatest("a.sid", "b.sid").alias("b")).distinct()
 
-    others = shared.where("x.sid <> leader.sid")
-    found = checked(pairs(others.select(F.col("leader").alias("a"), F.col("x").alias("b"))), sets, texts)
-    on = (F.col("leader.sid") == F.col("a")) & (F.col("x.sid") == F.col("b"))
-    loose = written(others.join(found, on, "left_anti").select("cell", F.col("x").alias("a")), "loose")
-    both = loose.join(others.select("cell", F.col("x").alias("b")), "cell").where("a.sid <> b.sid")
-    roots = written(components(found), "roots")
-    sides = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
-    open_ = pairs(both).join(sides[0], "a", "left").join(sides[1], "b", "left")
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    return found.union(checked(open_.where(apart).select("a", "b"), sets, texts))
+    place = F.row_number().over(Window.partitionBy("cell").orderBy("x.sid"))
+    leaders = shared.withColumn("place", place).where(F.col("place") <= LEADERS).select("cell", F.col("x").alias("a"))
+    leaders = written(leaders, "leaders")
+    first = leaders.join(shared.select("cell", F.col("x").alias("b")), "cell").where("a.sid < b.sid")
+    found = checked(pairs(first), sets, texts)
+
+    last = leaders.groupBy("cell").agg(F.max("a.sid").alias("last"))
+    large = shared.where(F.col("m") > LEADERS).select("cell", "x", "x.sid")
+    heads = large.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("x.pos", "cell"))).alias("s"))
+    heads = heads.select("sid", F.slice("s.cell", 1, FIRST_CELLS).alias("heads"))
+    roots = components(found).select(F.col("node").alias("sid"), "root")
+    rest = large.join(last, "cell").where("sid > last").join(heads, "sid").join(roots, "sid", "left")
+    rest = written(rest.select("cell", "x", "heads", F.coalesce("root", "sid").alias("root")), "crowded")
+    groups = rest.groupBy("cell", "root").agg(F.count("*").alias("size"))
+    main = groups.groupBy("cell").agg(F.max_by("root", F.struct("size", "root")).alias("main"))
+    sides = rest.join(main, "cell").select("cell", "x", "heads", "root", (F.col("root") == F.col("main")).alias("inner"))
+    sides = written(sides, "sides")
+    outer = sides.where("not inner").select("cell", F.col("x").alias("a"), F.col("heads").alias("heads_a"), F.col("root").alias("root_a"))
+    whole = sides.select("cell", F.col("x").alias("b"), F.col("heads").alias("heads_b"), F.col("root").alias("root_b"), "inner")
+    both = outer.join(whole, "cell").where("root_a <> root_b and (inner or a.sid < b.sid)")
+    both = both.where("coalesce(get(array_intersect(heads_a, heads_b), 0), cell) = cell")
+    return found.union(checked(pairs(both), sets, texts))
 
 
 def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:

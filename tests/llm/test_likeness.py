@@ -66,6 +66,25 @@ def test_edited_copies_around_the_bound(docs_of, monkeypatch, crowded):
     assert sorted(r.doc_id for r in simhash.keep_first(docs_of(*texts)).collect()) == kept
 
 
+@pytest.mark.parametrize("leaders, heads", [(1, 1), (3, 2), (3, 16)])
+def test_cells_larger_than_their_leaders(docs_of, monkeypatch, leaders, heads):
+    """Groups whose members are often alike, but seldom like the smallest ones; nothing is lost, few pairs are met twice."""
+    monkeypatch.setattr(simhash, "LEADERS", leaders)
+    monkeypatch.setattr(simhash, "FIRST_CELLS", heads)
+    rng = random.Random(11)
+    texts = []
+    for _ in range(4):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+        for _ in range(30):
+            copy = list(words)
+            for _ in range(rng.choice([1, 1, 2])):
+                copy[rng.randrange(30, 80)] = f"n{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    kept, n = slow_kept(list(enumerate(texts)))
+    assert n > 100 and 4 < len(kept) < 120
+    assert sorted(r.doc_id for r in simhash.keep_first(docs_of(*texts)).collect()) == kept
+
+
 def test_many_unlike_texts_with_one_rare_line(docs_of, monkeypatch):
     """A line that the sample cannot know: its cells are crowded, are put last, and next to no pairs are compared."""
     monkeypatch.setattr(simhash, "COMMON", 10**9)
