@@ -19,7 +19,7 @@ def drop_bad_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of SimHash links, that with the smallest id."""
+    """Of documents connected by SimHash links or by the likeness of their five-word shingles, that with the smallest id."""
     return simhash.keep_first(docs)
 
 
