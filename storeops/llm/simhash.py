@@ -42,6 +42,8 @@ LEADERS = 32
 FIRST_CELLS = 16
 #: Slots that a task counts before it hands them on; times that crowded shingles are put last and all is counted anew.
 FLUSH, ROUNDS = 1 << 20, 2
+#: Bits of the classes that a set's shingles are counted in, before texts are shuffled to compare them.
+LEAST_CLASS_BITS, MOST_CLASS_BITS = 5, 14
 
 
 def fingerprint_of(text: bytes, width: int = SHINGLE) -> int:
@@ -174,6 +176,30 @@ def stage_prints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     return map_texts(docs, keep, "fp long, sid long, n int", worker, text)
 
 
+def tally(shingles: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each class, a byte per class; 255 stands for as many or more.
+
+    Classes are the low bits of the hash. There are so many that each has four shingles or fewer on average, up to
+    a set of 2 ** (MOST_CLASS_BITS + 2).
+    """
+    bits = min(MOST_CLASS_BITS, max(LEAST_CLASS_BITS, (len(shingles) // 4).bit_length()))
+    counts = np.bincount(shingles & ((1 << bits) - 1), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def may_be_alike(left: bytes, right: bytes) -> bool:
+    """Whether sets with these tallies can have a likeness of LIKE / OF; never False for sets that have it.
+
+    In each class two sets have at most the lesser count in common. The finer tally is summed to the coarser one's
+    classes. Where a class is full nothing is said.
+    """
+    a, b = sorted((np.frombuffer(x, np.uint8) for x in (left, right)), key=len)
+    if a.max() == 255 or b.max() == 255:
+        return True
+    b = b.reshape(-1, len(a)).sum(axis=0)
+    return int(np.minimum(a, b).sum()) * (LIKE + OF) >= int(a.sum() + b.sum()) * LIKE
+
+
 def slot_counts(texts: DataFrame, order: Order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A bit for each slot that rare shingles of two or more texts fall into; the crowded slots and their counts.
 
@@ -241,9 +267,11 @@ def slot_counts(texts: DataFrame, order: Order) -> tuple[np.ndarray, np.ndarray,
     return bits, np.array(slots, np.int64), np.array(crowds, np.int64)
 
 
-def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
+def shared_cells(texts: DataFrame, prefix_size: int) -> tuple[DataFrame, DataFrame]:
     """cell, its size m, and x (sid, n, pos): rare shingles of each distinct set that other sets have among theirs.
 
+    Beside them (sid, tally) of these sets.
+
     Crowded slots are put last in the order, and all is counted anew, until there are no new ones or ROUNDS are over.
     What stays crowded then are texts without rarer shingles, as groups of near copies.
     """
@@ -258,7 +286,7 @@ def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
 
     def worker():
         def run(batch: list[bytes]) -> list:
-            sids, sizes, cells, places = [], [], [], []
+            sids, sizes, cells, places, tallies = [], [], [], [], []
             for text in batch:
                 shingles = shingle_set(text)
                 rare = order.rarest(shingles)
@@ -268,16 +296,17 @@ def shared_cells(texts: DataFrame, prefix_size: int) -> DataFrame:
                 sizes.append(len(shingles))
                 cells.append(rare[kept])
                 places.append(kept)
-            return [sids, sizes, cells, places]
+                tallies.append(tally(shingles) if len(kept) else None)
+            return [sids, sizes, cells, places, tallies]
 
         return run
 
-    rows = map_texts(texts, [], "sid long, n int, cells array<long>, places array<int>", worker)
+    rows = map_texts(texts, [], "sid long, n int, cells array<long>, places array<int>, tally binary", worker)
     rows = written(rows.where(F.size("cells") > 0).dropDuplicates(["sid"]), "rare-cells")
     cells = rows.select("sid", "n", F.explode(F.arrays_zip("cells", "places")).alias("c"))
     cells = cells.select(F.col("c.cells").alias("cell"), F.struct("sid", "n", F.col("c.places").alias("pos")).alias("x"))
     sizes = cells.groupBy("cell").agg(F.count("*").alias("m")).where("m > 1")
-    return written(cells.join(sizes, "cell"), "shared-cells")
+    return written(cells.join(sizes, "cell"), "shared-cells"), rows.select("sid", "tally")
 
 
 def grid_cells(classes: DataFrame) -> DataFrame:
@@ -364,13 +393,13 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
 
     `sets` has sid, n and _row_key, one row per set; `texts` has _row_key and text. Sets that share a rare shingle
     are compared if their sizes and the places of the shingle leave room for enough common ones (Xiao and others,
-    2008), on all shingles. First each set of a cell is compared with the LEADERS smallest ones, which are all of most
+    2008): by their tallies, and if these leave room too, on all shingles. First each set of a cell is compared with the LEADERS smallest ones, which are all of most
     cells. In larger cells the links found so far connect groups of near copies. Only sets outside of a cell's greatest
     such group meet the rest of the cell, and only those that no links connect are compared. Of the larger cells that
     two sets share the first in the order counts; where it is not among the FIRST_CELLS of both, all do.
     """
     size = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * LIKE / OF) + 1)).first()[0] or 0
-    shared = shared_cells(texts.select("text"), size)
+    shared, tallies = shared_cells(texts.select("text"), size)
     a, b = F.col("a"), F.col("b")
     near = F.least(a["n"], b["n"]) * OF >= F.greatest(a["n"], b["n"]) * LIKE
     fits = near & (F.least(a["n"] - a["pos"], b["n"] - b["pos"]) * (LIKE + OF) >= (a["n"] + b["n"]) * LIKE)
@@ -382,7 +411,7 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     leaders = shared.withColumn("place", place).where(F.col("place") <= LEADERS).select("cell", F.col("x").alias("a"))
     leaders = written(leaders, "leaders")
     first = leaders.join(shared.select("cell", F.col("x").alias("b")), "cell").where("a.sid < b.sid")
-    found = checked(pairs(first), sets, texts)
+    found = checked(possible(pairs(first), tallies), sets, texts)
 
     last = leaders.groupBy("cell").agg(F.max("a.sid").alias("last"))
     large = shared.where(F.col("m") > LEADERS).select("cell", "x", "x.sid")
@@ -399,7 +428,23 @@ def alike(sets: DataFrame, texts: DataFrame) -> DataFrame:
     whole = sides.select("cell", F.col("x").alias("b"), F.col("heads").alias("heads_b"), F.col("root").alias("root_b"), "inner")
     both = outer.join(whole, "cell").where("root_a <> root_b and (inner or a.sid < b.sid)")
     both = both.where("coalesce(get(array_intersect(heads_a, heads_b), 0), cell) = cell")
-    return found.union(checked(pairs(both), sets, texts))
+    return found.union(checked(possible(pairs(both), tallies), sets, texts))
+
+
+def possible(pairs: DataFrame, tallies: DataFrame) -> DataFrame:
+    """The pairs (a, b) of sids that may be alike by their tallies."""
+    schema = pairs.schema
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in slices(batch, 2):
+                keep = [may_be_alike(x, y) for x, y in zip(piece.column(2).to_pylist(), piece.column(3).to_pylist())]
+                yield pa.RecordBatch.from_arrays(piece.filter(pa.array(keep, pa.bool_())).columns[:2], schema=arrow)
+
+    sides = [tallies.select(F.col("sid").alias(s), F.col("tally").alias(f"tally_{s}")) for s in "ab"]
+    both = pairs.join(sides[1], "b").join(sides[0], "a").select("a", "b", "tally_a", "tally_b")
+    return both.mapInArrow(run, schema)
 
 
 def checked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -96,3 +97,31 @@ def test_many_unlike_texts_with_one_rare_line(docs_of, monkeypatch):
     monkeypatch.setattr(simhash, "checked", lambda pairs, sets, texts: compared.append(pairs.count()) or real(pairs, sets, texts))
     assert simhash.keep_first(docs_of(*texts, texts[7] + " more")).count() == 5000
     assert sum(compared) < 50
+
+
+def test_tallies_never_lose_a_pair_that_is_alike():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 3, 4, 9, 63, 64, 65, 127, 128, 300, 2_000, 40_000):
+        for _ in range(6):
+            left = rng.integers(-(1 << 63), (1 << 63) - 1, n)
+            cut = max(0, n - -(-4 * n // 5))
+            for right in (left[cut:], np.concatenate([left, rng.integers(-(1 << 63), (1 << 63) - 1, n // 4)])):
+                common, every = len(np.intersect1d(left, right)), len(np.union1d(left, right))
+                assert common * 5 >= every * 4
+                a, b = (simhash.tally(np.unique(x)) for x in (left, right))
+                assert simhash.may_be_alike(a, b) and simhash.may_be_alike(b, a)
+
+
+def test_tallies_tell_most_unlike_sets_apart():
+    rng = np.random.default_rng(8)
+    for n in (60, 300, 5_000):
+        sets = [np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, n)) for _ in range(20)]
+        half = [np.unique(np.concatenate([x[: n // 2], y[n // 2 :]])) for x, y in zip(sets, sets[1:])]
+        marks = [simhash.tally(x) for x in sets]
+        assert not any(simhash.may_be_alike(x, y) for x, y in zip(marks, marks[1:]))
+        assert sum(simhash.may_be_alike(x, simhash.tally(y)) for x, y in zip(marks, half)) <= 2
+
+
+def test_a_full_class_says_nothing():
+    full = np.arange(300, dtype=np.int64) << 20
+    assert simhash.may_be_alike(simhash.tally(full), simhash.tally(full + 1))
