@@ -66,14 +66,24 @@ def type_columns(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
 
 
 def first_per_grain(
-    df: DataFrame, grain: Sequence[str | Column], order: Sequence[str], keep: Sequence[str] | None = None
+    df: DataFrame,
+    grain: Sequence[str | Column],
+    order: Sequence[str],
+    keep: Sequence[str] | None = None,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """One row per grain, the earliest by `order`.
 
     Put the load time first and then the remaining columns, so that equal load times still give one
     defined row. Spark cuts every group to one row before the shuffle (WindowGroupLimit), so a key
     with very many copies ships at most one row per task.
+
+    That cut sorts the rows of each task as they are read, however many these are. `spread` names grain columns
+    by which rows are dealt out first, for tables in which copies are few: rows are then sorted once, in the
+    partitions of the shuffle, and a later grouping by these and more columns needs no shuffle of its own.
     """
+    if spread:
+        df = df.repartition(*spread)
     window = Window.partitionBy(*grain).orderBy(*[F.col(c).asc_nulls_first() for c in order])
     ranked = df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") == 1)
     return ranked.select(*keep) if keep else ranked.drop("_rank")

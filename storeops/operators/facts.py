@@ -33,7 +33,8 @@ def sales_fact(raw: DataFrame, store_alias: DataFrame, keep_unmapped: bool = Fal
     grain: list[str | Column] = list(SALES_GRAIN)
     if keep_unmapped:
         grain.append(F.when(F.col("location_id").isNull(), match_key(F.col("store"))))
-    first = first_per_grain(rows, grain, ["_loaded_at", *SALES_MEASURES])
+    # Dealt by store and item, so that the weekly sums per store and item follow without a shuffle.
+    first = first_per_grain(rows, grain, ["_loaded_at", *SALES_MEASURES], spread=["location_id", "menu_item_id"])
     rebuilt = F.col("gross_sales") - F.col("discounts") - F.col("comps")
     return impute(first, "net_sales", rebuilt, "is_net_sales_imputed").select(
         *SALES_GRAIN, *SALES_MEASURES, "is_net_sales_imputed"
@@ -83,7 +84,10 @@ def shifts_fact(
     rows = type_columns(mapped, kinds("timeclock"))
     times = ["scheduled_start", "scheduled_end", "actual_start", "actual_end"]
     first = first_per_grain(
-        rows, ["shift_id"], ["_loaded_at", "business_date", "location_id", "employee_id", "role", *times]
+        rows,
+        ["shift_id"],
+        ["_loaded_at", "business_date", "location_id", "employee_id", "role", *times],
+        spread=["shift_id"],
     )
     ended = impute(first, "actual_end", F.col("scheduled_end"), "is_clock_out_imputed")
     wages = employee.select("employee_id", "hourly_wage_2025")
@@ -178,7 +182,9 @@ def purchases_fact(raw: DataFrame, store_alias: DataFrame, suppliers: DataFrame)
         "unit_cost",
         "line_total",
     ]
-    first = first_per_grain(rows, ["po_line_id"], ["_loaded_at", *values], keep=["po_line_id", *values])
+    first = first_per_grain(
+        rows, ["po_line_id"], ["_loaded_at", *values], keep=["po_line_id", *values], spread=["po_line_id"]
+    )
     master = suppliers.select(F.col("supplier").alias("supplier_master")).distinct()
     named = first.join(master, match_key(F.col("supplier")) == F.upper("supplier_master"), "left")
     return convert_unit(named, "qty_received", "unit_cost").select(
