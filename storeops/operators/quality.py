@@ -47,13 +47,14 @@ def _sums(checks: Mapping[int, Column]) -> list[Column]:
 def profiles(raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """What the checks need of each extract and fact: row counts and row checks per spelling, item, unit or day.
 
-    Each table is read by one grouped pass, and all its checks work on the small result. Sales and shifts have
-    two groupings each, which one pass serves as grouping sets or as a sum of sums.
+    Each table is read by one grouped pass, and all its checks work on the small result. Sales, raw and clean, and
+    shifts have two groupings each, which one pass serves as grouping sets or as a sum of sums.
     """
     unmapped = flag(F.col("location_id").isNull())
     text_date = flag(
         try_day(F.col("business_date"), ISO_DAY).isNull() & try_day(F.col("business_date"), TEXT_MONTH_DAY).isNotNull()
     )
+    raw_sales = raw["pos_sales"].select("store", "menu_item_id", "menu_item_name", text_date.cast("bigint").alias(_named(2)))
     sales_checks = {
         3: F.col("is_net_sales_imputed"),
         4: flag(F.col("business_date").isNull()),
@@ -78,7 +79,9 @@ def profiles(raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame]) -> dic
     }
     purchase_checks = {10: unmapped, 19: F.col("is_unit_converted"), 21: flag(F.col("supplier").isNull())}
     return {
-        "pos_sales": raw["pos_sales"].groupBy("store", "menu_item_id", "menu_item_name").agg(*_sums({2: text_date})),
+        "pos_sales": raw_sales.groupingSets(
+            [("store",), ("menu_item_id", "menu_item_name")], "store", "menu_item_id", "menu_item_name"
+        ).agg(F.grouping("store").alias("by_name"), *_sums({2: F.col(_named(2))})),
         "pos_covers_hourly": raw["pos_covers_hourly"].groupBy("store").agg(*_sums({})),
         "timeclock": raw["timeclock"].groupBy("store", "role").agg(*_sums({})),
         "purchasing": raw["purchasing"].groupBy("store").agg(*_sums({})),
@@ -126,12 +129,13 @@ def quality_counts(
     rows = F.col("rows")
     sales = found["fact_sales_item_daypart"]
     by_day, by_item = sales.filter("by_day = 1"), sales.filter("by_day = 0")
+    by_store, by_name = found["pos_sales"].filter("by_name = 0"), found["pos_sales"].filter("by_name = 1")
 
     def own(*checks: int) -> dict[int, Column]:
         return {c: F.col(_named(c)) for c in checks}
 
     parts = [
-        _counts(found["pos_sales"], {1: rows, **own(2)}),
+        _counts(by_store, {1: rows, **own(2)}),
         _counts(by_day, {1: -rows, **own(3, 4, 7, 10)}),
         _counts(found["fact_covers_hourly"], own(10)),
         _counts(found["timeclock"], {11: rows}),
@@ -143,7 +147,7 @@ def quality_counts(
         _counts(found["fact_ingredient_usage_weekly"], own(23, 24)),
     ]
 
-    names = found["pos_sales"].groupBy("menu_item_id", "menu_item_name").agg(F.sum("rows").alias("rows"))
+    names = by_name.select("menu_item_id", "menu_item_name", "rows")
     master = raw["ref_menu"].select("menu_item_id", F.col("menu_item_name").alias("master_name"))
     differs = match_key(F.col("menu_item_name")) != match_key(F.col("master_name"))
     parts.append(_counts(names.join(master, "menu_item_id").filter(differs), {5: rows}))
@@ -156,7 +160,8 @@ def quality_counts(
     gap = F.abs(F.coalesce("item_amount", F.lit(0)) - F.coalesce("hour_amount", F.lit(0)))
     parts.append(_counts(items.join(hours, store_day, "full"), {8: flag(gap > 1)}))
 
-    spelled = reduce(DataFrame.unionByName, [found[name].select("store", "rows") for name in STORE_EXTRACTS])
+    spellings = found | {"pos_sales": by_store}
+    spelled = reduce(DataFrame.unionByName, [spellings[name].select("store", "rows") for name in STORE_EXTRACTS])
     spelled = spelled.groupBy("store").agg(F.sum("rows").alias("rows"))
     known = spelled.join(store_alias, match_key(F.col("store")) == F.col("alias_key")).join(
         core["dim_location"].select("location_id", "location_name"), "location_id"
