@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from storeops.fixed_values import EXPECTED_LOADS
 from storeops.sources.tables import literal_rows
 from storeops.schemas import EXTRACTS, FILE_PATTERNS, text_schema
-from storeops.sources.quoted_csv import fields, records
+from storeops.sources import quoted_csv
 
 CSV_OPTIONS = {
     "quote": '"',
@@ -48,8 +48,8 @@ def land_extract(
         rows = spark.createDataFrame([], text_schema(extract)).withColumn("_source_file", F.lit(None).cast("string"))
     elif multiline:
         names = EXTRACTS[extract]
-        found = fields(records(spark, paths, glob), len(names))
-        rows = found.select(*[F.col("fields")[i].alias(n) for i, n in enumerate(names)], F.col("name").alias("_source_file"))
+        found = quoted_csv.read(spark, paths, glob, len(names))
+        rows = found.select(*[F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)], F.col("name").alias("_source_file"))
     else:
         reader = spark.read.schema(text_schema(extract)).options(**CSV_OPTIONS, header="true", enforceSchema="true", recursiveFileLookup="true")
         reader = reader if glob is None else reader.option("pathGlobFilter", glob)

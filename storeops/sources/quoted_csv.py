@@ -4,6 +4,9 @@ A task sees the lines of a byte range and cannot know whether the first of them
 is scanned under both assumptions, which gives a function from its first state to its last; composing the
 functions in file order settles every range's first state. With the states known, each task joins its lines to
 records, and only a record that crosses from one range into another is put together from parts.
+
+Only lines with a quote are scanned in Python, since others change no state. Stretches of lines without one are cut
+at their commas as whole Arrow arrays; only the other lines are taken one by one.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +26,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 # What a row of `_pieces` is: a record, the rest of one that an earlier range began, or the begin of one.
 WHOLE, REST, BEGIN = 0, 1, 2
 
+# Shorter stretches of plain lines are not worth the calls that an Arrow array takes.
+STRETCH = 64
+
 RANGE = T.StructType(
     [
         T.StructField("file", T.StringType()),
@@ -37,6 +44,7 @@ PIECE = T.StructType(
         T.StructField("block", T.LongType()),
         T.StructField("kind", T.IntegerType()),
         T.StructField("record", T.StringType()),
+        T.StructField("fields", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -73,8 +81,12 @@ def text_lines(spark: SparkSession, paths: list[str] | str, pattern: str | None
     )
 
 
+def has_quote() -> Column:
+    return F.col("value").cast("string").contains('"')
+
+
 def ranges(lines: DataFrame) -> DataFrame:
-    """RANGE rows: for each byte range the state at its end under either state at its start."""
+    """RANGE rows: for each byte range with a quote the state at its end under either state at its start."""
     arrow = to_arrow_schema(RANGE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -89,12 +101,24 @@ def ranges(lines: DataFrame) -> DataFrame:
                     if now is not None:
                         yield told()
                     now, out, into = (file, block), False, True
-                if b'"' in value:
-                    out, into = inside_after(value, out), inside_after(value, into)
+                out, into = inside_after(value, out), inside_after(value, into)
         if now is not None:
             yield told()
 
-    return lines.select("file", "block", "value").mapInArrow(run, RANGE)
+    return lines.where(has_quote()).select("file", "block", "value").mapInArrow(run, RANGE)
+
+
+def quoted_starts(lines: DataFrame) -> dict[str, list[int]]:
+    """For each file the ranges, in order, that begin inside quotes; files without any are left out.
+
+    From outside, a file gets inside only by a range that ends so. Where there is one, the ranges without a quote,
+    which keep the state, are listed too.
+    """
+    if ranges(lines).where("from_outside").isEmpty():
+        return {}
+    plain = lines.groupBy("file", "block").agg(F.bool_or(has_quote()).alias("quotes")).where("not quotes")
+    keep = plain.select("file", "block", F.lit(False).alias("from_outside"), F.lit(True).alias("from_inside"))
+    return {r["file"]: list(r["blocks"]) for r in starts_inside(ranges(lines).unionByName(keep)).collect()}
 
 
 def starts_inside(found: DataFrame) -> DataFrame:
@@ -110,11 +134,54 @@ def starts_inside(found: DataFrame) -> DataFrame:
     return files.select("file", F.aggregate("ranges", first, step, lambda s: s["blocks"]).alias("blocks")).where(F.size("blocks") > 0)
 
 
-def _pieces(lines: DataFrame, inside: dict[str, list[int]]) -> DataFrame:
-    """PIECE rows: records, and the parts of those that cross ranges. The first record of a file is its header."""
+def cut(record: str, width: int) -> list[str | None]:
+    """The texts of a record's first `width` fields; an empty or missing one is null."""
+    values = next(csv.reader(io.StringIO(record, newline="")), [])[:width]
+    return [v or None for v in values] + [None] * (width - len(values))
+
+
+def cut_plain(lines: pa.Array, width: int) -> pa.Array:
+    """The same for lines without quotes and line breaks, empty ones left out; missing fields are not filled up."""
+    lists = pc.split_pattern(lines.filter(pc.not_equal(lines, "")), ",", max_splits=width)
+    values = pc.if_else(pc.equal(lists.values, ""), None, lists.values)
+    return pc.list_slice(pa.ListArray.from_arrays(lists.offsets, values), 0, width)
+
+
+def plain_lines(values: pa.Array) -> tuple[pa.Array | None, list[int]]:
+    """The lines as texts without their line ends, and the numbers of those with quotes or further line ends.
+
+    There are no texts if a line is no UTF-8.
+    """
+    try:
+        lines = values.cast(pa.string())
+    except pa.ArrowInvalid:
+        return None, []
+    hard = pc.match_substring(lines, '"')
+    if pc.any(pc.match_substring(lines, "\r")).as_py():
+        lines = pc.if_else(pc.ends_with(lines, "\r"), pc.utf8_slice_codeunits(lines, 0, -1), lines)
+        hard = pc.or_(hard, pc.match_substring(lines, "\r"))
+    return lines, pc.indices_nonzero(hard).to_pylist()
+
+
+def spans(batch: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+    """From and to of the rows of one range, for the ranges of a batch of lines."""
+    if batch.num_rows:
+        file, block = batch.column(0), batch.column(2)
+        changes = pc.or_(pc.not_equal(file[1:], file[:-1]), pc.not_equal(block[1:], block[:-1]))
+        starts = [0, *(i + 1 for i in pc.indices_nonzero(changes).to_pylist())]
+        yield from zip(starts, [*starts[1:], batch.num_rows])
+
+
+def _pieces(lines: DataFrame, inside: dict[str, list[int]], width: int, only_inside: bool = False) -> DataFrame:
+    """PIECE rows: fields of records, and the parts of those that cross ranges. The first record of a file is its header.
+
+    `only_inside` leaves out files that `inside` does not name. A filter on the frame would do so as well, but a scan
+    of fewer files is split into other ranges.
+    """
     arrow = to_arrow_schema(PIECE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
         now: tuple | None = None
         held: list[bytes] = []
         open_ = rest = header = False
@@ -133,33 +200,60 @@ def _pieces(lines: DataFrame, inside: dict[str, list[int]]) -> DataFrame:
             elif header and kind != REST:
                 header = False
                 if kind == BEGIN:
-                    rows.append((*now, kind, None))
+                    rows.append((*now, kind, None, None))
             else:
                 goes_on = last and open_ and kind != WHOLE
                 body = text[:-1] if text.endswith(b"\r") and not goes_on else text
-                rows.append((*now, kind, body.decode("utf-8", "replace")))
+                record = body.decode("utf-8", "replace")
+                rows.append((*now, kind, None, cut(record, width)) if kind == WHOLE else (*now, kind, record, None))
             held, rest = [], False
 
+        def take(value: bytes) -> None:
+            nonlocal open_
+            held.append(value)
+            if b'"' in value:
+                open_ = inside_after(value, open_)
+            if not open_:
+                close(False)
+
         def out() -> pa.RecordBatch:
             columns = zip(*rows) if rows else [()] * len(arrow)
             batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
             rows.clear()
             return batch
 
+        def out_plain(cuts: pa.Array) -> pa.RecordBatch:
+            n = len(cuts)
+            known = {"name": pa.repeat(now[1], n), "kind": pa.repeat(pa.scalar(WHOLE, pa.int32()), n), "fields": cuts}
+            columns = [known[f.name].cast(f.type) if f.name in known else pa.nulls(n, f.type) for f in arrow]
+            return pa.RecordBatch.from_arrays(columns, schema=arrow)
+
         for batch in batches:
-            for file, name, block, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for start, end in spans(batch):
+                file, name, block = (batch.column(i)[start].as_py() for i in range(3))
+                if only_inside and file not in inside:
+                    continue
+                values, at = batch.column(3).slice(start, end - start), 0
                 if now is None or (file, block) != (now[0], now[2]):
                     if held:
                         close(True)
                     now, header = (file, name, block), block == 0
                     open_ = rest = block in inside.get(file, ())
                     if header:
-                        value = value.removeprefix(b"\xef\xbb\xbf")
-                held.append(value)
-                if b'"' in value:
-                    open_ = inside_after(value, open_)
-                if not open_:
-                    close(False)
+                        take(values[0].as_py().removeprefix(b"\xef\xbb\xbf"))
+                        at = 1
+                texts, hard = plain_lines(values)
+                taken = values.to_pylist() if texts is None or hard or open_ or header else []
+                for stop in [*hard, len(values)]:
+                    while at < stop and (open_ or header or texts is None or stop - at < STRETCH):
+                        take(taken[at] if taken else values[at].as_py())
+                        at += 1
+                    if at < stop:
+                        yield out_plain(cut_plain(texts.slice(at, stop - at), width))
+                        at = stop
+                    if at == stop < len(values):
+                        take(taken[at])
+                        at += 1
             yield out()
         if held:
             close(True)
@@ -168,19 +262,19 @@ def _pieces(lines: DataFrame, inside: dict[str, list[int]]) -> DataFrame:
     return lines.mapInArrow(run, PIECE)
 
 
-def records(spark: SparkSession, paths: list[str] | str, pattern: str | None = None) -> DataFrame:
-    """(name, record): the file's name and the text of each CSV record but the header, line breaks in quotes included.
+def read(spark: SparkSession, paths: list[str] | str, pattern: str | None, width: int) -> DataFrame:
+    """(name, fields): the file's name and the first `width` fields of each CSV record but the header.
 
-    Files are split by Spark as any text is. Line ends are LF or CRLF; empty lines are no records; a quote that
-    nothing closes reaches to the end of the file. Other than one row per range that starts inside quotes, nothing
-    comes to the driver.
+    Line breaks in quotes are part of the field; an empty field is null, missing ones are null or left out. Files are
+    split by Spark as any text is. Line ends are LF or CRLF; empty lines are no records; a quote that nothing closes
+    reaches to the end of the file. Other than one row per range that starts inside quotes, nothing comes to the driver.
     """
     lines = text_lines(spark, paths, pattern)
-    inside = {r["file"]: list(r["blocks"]) for r in starts_inside(ranges(lines)).collect()}
-    whole = _pieces(lines, inside).where(F.col("kind") == WHOLE).select("name", "record")
+    inside = quoted_starts(lines)
+    whole = _pieces(lines, inside, width).where(F.col("kind") == WHOLE).select("name", "fields")
     if not inside:
         return whole
-    parts = _pieces(lines.where(F.col("file").isin(sorted(inside))), inside).where(F.col("kind") != WHOLE)
+    parts = _pieces(lines, inside, width, only_inside=True).where(F.col("kind") != WHOLE)
     # In a range the rest of an earlier record comes before the begin of a new one; kinds are numbered so.
     order = Window.partitionBy("file").orderBy("block", "kind")
     number = F.sum((F.col("kind") == BEGIN).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -188,21 +282,18 @@ def records(spark: SparkSession, paths: list[str] | str, pattern: str | None = N
         F.sort_array(F.collect_list(F.struct("block", "kind", "record"))).alias("parts"), F.bool_or((F.col("kind") == BEGIN) & F.col("record").isNull()).alias("header")
     )  # a record is one field's text and more, so a handful of ranges at most
     crossing = parts.where("not header").select("name", F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
-    return whole.unionByName(crossing)
+    return whole.unionByName(fields(crossing, width))
 
 
 def fields(found: DataFrame, width: int) -> DataFrame:
-    """(name, fields): the texts of a record's first `width` fields; an empty or missing one is null."""
+    """(name, fields) of records given as (name, record)."""
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("fields", T.ArrayType(T.StringType()))])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
         for batch in batches:
-            rows = []
-            for record in batch.column(1).to_pylist():
-                values = next(csv.reader(io.StringIO(record, newline="")), [])[:width]
-                rows.append([v or None for v in values] + [None] * (width - len(values)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, arrow.field(1).type)], schema=arrow)
+            cuts = [cut(record, width) for record in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cuts, arrow.field(1).type)], schema=arrow)
 
     return found.select("name", "record").mapInArrow(run, schema)

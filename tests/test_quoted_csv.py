@@ -5,6 +5,7 @@ import io
 import os
 import random
 
+import pyarrow as pa
 import pytest
 
 from storeops.schemas import EXTRACTS
@@ -88,3 +89,50 @@ def test_land_all_takes_a_choice_per_extract(spark, tmp_path):
     assert {n: df.count() for n, df in raw.items()} == dict.fromkeys(EXTRACTS, 1)
     plans = {n: df._jdf.queryExecution().toString() for n, df in raw.items()}
     assert "MapInArrow" not in plans["pos_sales"] and "MapInArrow" in plans["timeclock"]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_stretches_without_quotes(spark, tmp_path, small_splits, end):
+    """Plain lines between quoted ones, also as the inside of a quoted field that covers whole ranges."""
+    rng, width = random.Random(3), len(EXTRACTS["waste_log"])
+    odd = ['"a,""b"",c",2', f'x,"{end}y"', "", " ", "short", "," * 20, 'a"b,c', '""', "bad \udcff,1", 'z,"' + f"in,side{end}" * 300 + '",7']
+    lines = ["\ufeffh,h"]
+    for n in [1, 63, 64, 65, 150, *rng.choices([0, 1, 2, 64, 100], k=25)]:
+        lines += [*(f"{i},é,,{'x' * (i % 3)}" for i in range(n)), rng.choice(odd)]
+    data = end.join([*lines, *odd, ""]).encode("utf-8", "surrogateescape")
+    (tmp_path / "waste_log_extract.csv").write_bytes(data)
+    found = list(csv.reader(io.StringIO(data.decode("utf-8-sig", "replace"), newline="")))[1:]
+    expected = [tuple(v or None for v in r[:width]) + (None,) * (width - len(r)) for r in found if r]
+    got = landing.land_extract(spark, str(tmp_path), "waste_log").select(*EXTRACTS["waste_log"]).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(expected, key=repr)
+
+
+def test_plain_lines_pass_python_once(spark, tmp_path):
+    (tmp_path / "pos_sales_extract.csv").write_text("h\n" + "1999-01-01,store,item\n" * 500)
+    assert quoted_csv.ranges(quoted_csv.text_lines(spark, str(tmp_path))).count() == 0
+    plan = landing.land_extract(spark, str(tmp_path), "pos_sales")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_only_odd_lines_are_taken_one_by_one():
+    plain = 200
+    values = pa.array([b"a,,c,d"] * plain + [b'"q"', b"a\rb", b"x\r", b"", b"\r"], pa.binary())
+    lines, hard = quoted_csv.plain_lines(values)
+    assert hard == [plain, plain + 1]
+    assert quoted_csv.cut_plain(lines[:plain], 3).to_pylist() == [["a", None, "c"]] * plain
+    assert quoted_csv.cut_plain(lines[plain + 2 :], 3).to_pylist() == [["x"]]
+    assert quoted_csv.plain_lines(pa.array([b"\xff"]))[0] is None
+
+
+def test_ranges_stay_the_same_beside_other_files(spark, tmp_path):
+    """With splits by the sizes of all files, a scan of one file alone would be cut elsewhere."""
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        quoted = "".join(f'"{i},\nb{i}",x{i}\n' for i in range(9000))
+        (tmp_path / "a_waste_log_extract.csv").write_text("h\n" + quoted)
+        (tmp_path / "b_waste_log_extract.csv").write_text("h\n" + "p,q\n" * 9000)
+        rows = landing.land_extract(spark, str(tmp_path), "waste_log", pattern="*.csv").select(*list(EXTRACTS["waste_log"])[:2]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert sorted(map(tuple, rows)) == sorted([(f"{i},\nb{i}", f"x{i}") for i in range(9000)] + [("p", "q")] * 9000)
