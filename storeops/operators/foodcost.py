@@ -19,17 +19,26 @@ def exact(col: Column) -> Column:
     return col.try_cast("decimal(28,6)")
 
 
+def weekly_sold(sales: DataFrame, *sums: str) -> DataFrame:
+    """Quantity sold, and the sums of any other measures, by week, store and item."""
+    return (
+        sales.withColumn("week_start", monday_of(F.col("business_date")))
+        .groupBy("week_start", "location_id", "menu_item_id")
+        .agg(*[F.sum(name).alias(name) for name in ("qty_sold", *sums)])
+    )
+
+
 def theoretical_usage(sales: DataFrame, recipe: DataFrame) -> DataFrame:
     """Items sold x recipe quantity by week, store and ingredient.
 
     Sales are summed per item before the recipe multiplies the rows: the join then carries one row
     per week, store and item, and a best-seller no longer weighs on one partition.
     """
-    sold = (
-        sales.withColumn("week_start", monday_of(F.col("business_date")))
-        .groupBy("week_start", "location_id", "menu_item_id")
-        .agg(F.sum("qty_sold").alias("qty_sold"))
-    )
+    return recipe_usage(weekly_sold(sales), recipe)
+
+
+def recipe_usage(sold: DataFrame, recipe: DataFrame) -> DataFrame:
+    """`weekly_sold` x recipe quantity by week, store and ingredient."""
     return (
         sold.join(recipe.select("menu_item_id", "ingredient_id", "qty_per_item"), "menu_item_id")
         .groupBy(*WEEK_GRAIN)
@@ -76,7 +85,19 @@ def usage_base(
     waste: DataFrame,
     new_cost_year: int = 2026,
 ) -> DataFrame:
-    """Unrounded quantities and unit costs per week, store and ingredient that had sales.
+    """Unrounded quantities and unit costs per week, store and ingredient that had sales."""
+    return usage_rows(theoretical_usage(sales, recipe), ingredient, bought, counts, waste, new_cost_year)
+
+
+def usage_rows(
+    theoretical: DataFrame,
+    ingredient: DataFrame,
+    bought: DataFrame,
+    counts: DataFrame,
+    waste: DataFrame,
+    new_cost_year: int = 2026,
+) -> DataFrame:
+    """The same from the `theoretical_usage`.
 
     `bought` are the `weekly_purchases`, read twice: for the store's own price and the chain's.
 
@@ -89,8 +110,7 @@ def usage_base(
     standard = F.when(F.year("week_start") >= new_cost_year, F.col("std_cost_2026")).otherwise(F.col("std_cost_2025"))
     purchased = zero_if_null(F.col("purchased_qty"))
     return (
-        theoretical_usage(sales, recipe)
-        .join(bought.hint("merge"), WEEK_GRAIN, "left")
+        theoretical.join(bought.hint("merge"), WEEK_GRAIN, "left")
         .join(weekly_waste(waste).hint("merge"), WEEK_GRAIN, "left")
         .join(opening.hint("merge"), WEEK_GRAIN, "left")
         .join(closing.hint("merge"), WEEK_GRAIN, "left")

@@ -148,38 +148,39 @@ class Extracts(Mapping):
         """Order lines with day and store.
 
         Lines and orders both grow with the data, so neither is ever broadcast: the merge hint has
-        them shuffled by order, with adaptive splitting of skewed orders.
+        them shuffled by order, with adaptive splitting of skewed orders. Days go through the shuffles as
+        dates, and the stores' names are added behind them.
         """
         orders = (
             self.table("orders")
-            .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"), "n_nationkey", "n_name")
+            .select("o_orderkey", "o_custkey", "o_orderpriority", F.col("o_orderdate").cast("date").alias("day"))
+            .join(self.table("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+            .select("o_orderkey", "o_orderpriority", "day", "c_nationkey")
         )
         return (
-            self.table("lineitem")
-            .join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+            self._lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .withColumn("k", F.col("l_orderkey") * 7 + F.col("l_linenumber"))
         )
 
+    @cached_property
+    def _lines(self) -> DataFrame:
+        return self.table("lineitem").withColumn("ship_day", F.col("l_shipdate").cast("date"))
+
     @cached_property
     def _delivered(self) -> DataFrame:
         """Order lines with supplier, store and ingredient.
 
         The lookups are joined one by one: each is then weighed by the size of its own files, while
-        a join of lookups would be estimated as larger than the lines.
+        a join of lookups would be estimated as larger than the lines. The parts, the largest of them, come
+        first: where they are too many to broadcast, the lines are shuffled before they carry any names.
         """
         return (
-            self.table("lineitem")
+            self._lines.join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(self.table("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-            .withColumns(
-                {
-                    "k": F.col("l_orderkey") * 7 + F.col("l_linenumber"),
-                    "day": F.col("l_shipdate").cast("date"),
-                }
-            )
+            .withColumn("k", F.col("l_orderkey") * 7 + F.col("l_linenumber"))
+            .withColumnRenamed("ship_day", "day")
         )
 
     @cached_property
@@ -209,7 +210,7 @@ class Extracts(Mapping):
             text(comps).alias("comps"),
             F.when(k % 500 != 0, text(net.cast("decimal(12,2)"))).alias("net_sales"),
             F.lit("pos_sales_extract.csv").alias("_source_file"),
-            F.date_add(F.col("l_shipdate").cast("date"), 1).cast("timestamp_ntz").alias("_loaded_at"),
+            F.date_add("ship_day", 1).cast("timestamp_ntz").alias("_loaded_at"),
             repeat_row(F.col("l_orderkey") % 250 == 0).alias("_copy"),
         )
         return rows.drop("_copy")

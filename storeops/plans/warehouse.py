@@ -25,6 +25,9 @@ MONTH_COLUMNS = {
     "fact_ingredient_usage_weekly": "week_start",
 }
 
+# Sums that one table alone is made from: written where a query reads them more often, else left lazy.
+PASSED_ON = ("weekly_sold",)
+
 
 @dataclass(frozen=True)
 class Rules:
@@ -48,6 +51,8 @@ def keep_in(folder: str) -> Callable[[str, DataFrame], DataFrame]:
     """Write every table below `folder`; tables built later read the written ones."""
 
     def keep(name: str, df: DataFrame) -> DataFrame:
+        if name in PASSED_ON:
+            return df
         return write_table(df, f"{folder.rstrip('/')}/{name}", MONTH_COLUMNS.get(name))
 
     return keep
@@ -155,15 +160,19 @@ class Warehouse:
     def fact_waste_log(self) -> DataFrame:
         return self.keep("fact_waste_log", facts.waste_fact(self.raw["waste_log"], self.store_alias))
 
+    @cached_property
+    def weekly_sold(self) -> DataFrame:
+        """Quantity and net sales by week, store and item."""
+        return self.keep("weekly_sold", foodcost.weekly_sold(self.fact_sales_item_daypart, "net_sales"))
+
     @cached_property
     def weekly_purchases(self) -> DataFrame:
         return self.keep("weekly_purchases", foodcost.weekly_purchases(self.fact_purchases))
 
     @cached_property
     def fact_ingredient_usage_weekly(self) -> DataFrame:
-        base = foodcost.usage_base(
-            self.fact_sales_item_daypart,
-            self.bridge_recipe,
+        base = foodcost.usage_rows(
+            foodcost.recipe_usage(self.weekly_sold, self.bridge_recipe),
             self.dim_ingredient,
             self.weekly_purchases,
             self.fact_inventory_counts,

@@ -3,10 +3,14 @@
 import os
 from decimal import Decimal
 
+import pytest
+from pyspark.sql import functions as F
+
 from storeops.operators import clean, facts, foodcost, quality
 from storeops.plans import catalog
 from storeops.plans.extracts import Extracts
-from storeops.sources.tables import staged_path
+from storeops.sources import tables
+from storeops.sources.tables import CLEANUP, stage, staged_path
 
 SALES = (
     "business_date string, store string, daypart string, menu_item_id string, menu_item_name string, qty_sold string, "
@@ -65,3 +69,41 @@ def test_raw_sales_are_profiled_by_store_and_by_name(frame):
     EMPTY = {n: x[n] for n in x} | {n: getattr(x.lazy_warehouse, n) for n in x.lazy_warehouse.TABLES}
     out = quality.profiles(Any(raw), Any())["pos_sales"].collect()
     assert sorted((r.by_name, str(r.store), r.rows, r.check_2) for r in out) == [(0, "A", 2, 1), (0, "B", 1, 0), (0, "None", 1, 0), (1, "None", 4, 1)]
+
+
+def shuffle_files(spark) -> set[str]:
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("|")
+    return {f for f in files.split("|") if "shuffle_" in f}
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP, None)
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+    rows = stage(sums.repartition("s"), "test-freed")
+    assert not shuffle_files(spark) - before
+    assert rows.count() == 7
+    assert spark.conf.get(CLEANUP, None) == setting
+
+
+def test_lines_meet_the_parts_before_they_carry_names(spark):
+    plan_before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(Extracts(spark, "/root/testdata/sf0.001").purchasing)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", plan_before)
+    dealt = plan[plan.index("hashpartitioning(l_partkey") :]
+    assert "Join" not in dealt[: dealt.index("FileScan")]
+
+
+def staged_keys(spark, sf: str, name: str) -> set[str]:
+    catalog.QUERIES[name](spark, sf).collect()
+    return {key.removeprefix(f"{sf}:") for _, key in tables._STAGED if key.startswith(f"{sf}:")}
+
+
+@pytest.mark.parametrize("name", ["food_cost_pct", "food_cost_total"])
+def test_weekly_sums_are_staged_and_not_the_sales(spark, tmp_path, name):
+    sf = str(tmp_path / "sf")
+    os.symlink("/root/testdata/sf0.001", sf)
+    keys = staged_keys(spark, sf, name)
+    assert "weekly_sold" in keys and "fact_sales_item_daypart" not in keys
