@@ -101,9 +101,14 @@ def staged_keys(spark, sf: str, name: str) -> set[str]:
     return {key.removeprefix(f"{sf}:") for _, key in tables._STAGED if key.startswith(f"{sf}:")}
 
 
-@pytest.mark.parametrize("name", ["food_cost_pct", "food_cost_total"])
+@pytest.mark.parametrize("name", ["food_cost_pct", "food_cost_total", "check_identity"])
 def test_weekly_sums_are_staged_and_not_the_sales(spark, tmp_path, name):
     sf = str(tmp_path / "sf")
     os.symlink("/root/testdata/sf0.001", sf)
     keys = staged_keys(spark, sf, name)
     assert "weekly_sold" in keys and "fact_sales_item_daypart" not in keys
+
+
+def test_the_identity_check_deals_weekly_sales_once(spark):
+    plan = physical(catalog.QUERIES["check_identity"](spark, "/root/testdata/sf0.001"))
+    assert not any("hashpartitioning(week_start" in line and "menu_item_id" in line for line in plan.splitlines())
