@@ -6,7 +6,7 @@ very frequent key costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -31,9 +31,13 @@ def number_text(col: Column, digits: int) -> Column:
     return half_up(col, digits).cast(f"decimal(30,{digits})").cast("string")
 
 
+def stacked(checks: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, checks)
+
+
 def report(checks: Sequence[DataFrame]) -> DataFrame:
     """All check rows, failures first."""
-    return reduce(DataFrame.unionByName, checks).orderBy("passed", "check_name")
+    return stacked(checks).orderBy("passed", "check_name")
 
 
 def close(a: Column, b: Column, atol: float, rtol: float = 1e-5) -> Column:
@@ -56,7 +60,24 @@ def row_rules(df: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
     )
 
 
-def unique_key(name: str, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def perhaps_equal(df: DataFrame, cols: Sequence[str], hold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows that may equal another one in the columns: those whose digest occurs more than once.
+
+    Equal rows have equal digests, so none is lost; the few others that come along have to be told apart by the
+    columns themselves. Only digests are shuffled, however wide the rows. `hold` writes the repeated ones: few of
+    them are broadcast, and where most rows have copies both sides are shuffled once more.
+    """
+    digest = F.xxhash64(*cols).alias("_digest")
+    often = hold(df.groupBy(digest).agg(F.count("*").alias("n")).filter("n > 1").select("_digest"))
+    return df.select(*cols, digest).join(often, "_digest", "left_semi").drop("_digest")
+
+
+def unique_key(
+    name: str, df: DataFrame, keys: Sequence[str], hold: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
+    """No key occurs twice. With `hold`, keys are grouped only where their digests repeat."""
+    if hold is not None:
+        df = perhaps_equal(df, keys, hold)
     repeated = df.groupBy(*keys).count().filter("count > 1").agg(F.count("*").alias("n"))
     return verdict(repeated, name, F.col("n") == 0, sentence("({n} repeated keys)", n=F.col("n")))
 
@@ -326,11 +347,33 @@ def copies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return kinds.agg(zero_if_null(F.sum("n")).alias("rows"), F.count("*").alias("kinds"))
 
 
-def defect_profile(df: DataFrame, cols: Sequence[str], defects: Mapping[str, Column], spelled: str) -> DataFrame:
-    """Rows, distinct rows, rows with each defect and spellings of a column, as one row from one pass.
+def defect_profile(
+    df: DataFrame,
+    cols: Sequence[str],
+    defects: Mapping[str, Column],
+    spelled: str,
+    hold: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Rows, distinct rows, rows with each defect and spellings of a column, as one row.
 
-    Equal rows are counted first, so copies cost nothing beyond.
+    Equal rows are counted first, in one pass, so copies cost nothing beyond. With `hold` only rows whose digests
+    repeat are compared in all columns; that takes three passes, so pass a written table.
     """
+    if hold is not None:
+        spellings = df.groupBy(spelled).agg(
+            F.count("*").alias("rows"), *[F.sum(flag(found)).alias(name) for name, found in defects.items()]
+        )
+        totals = spellings.agg(
+            *[zero_if_null(F.sum(name)).alias(name) for name in ("rows", *defects)], F.count(spelled).alias("spellings")
+        )
+        copied = copies(perhaps_equal(df, cols, hold), cols).select((F.col("rows") - F.col("kinds")).alias("beyond"))
+        both = totals.unionByName(copied, allowMissingColumns=True)
+        return both.agg(
+            F.max("rows").alias("rows"),
+            (F.max("rows") - F.max("beyond")).alias("kinds"),
+            *[F.max(name).alias(name) for name in defects],
+            F.max("spellings").alias("spellings"),
+        )
     kinds = df.groupBy(*cols).agg(F.count("*").alias("n"))
     return kinds.agg(
         zero_if_null(F.sum("n")).alias("rows"),
@@ -350,10 +393,12 @@ def share_of_rows(profile: DataFrame, name: str, count: str, limit: float) -> Da
     return verdict(profile, name, share > limit, sentence("({r})", r=number_text(share, 3)))
 
 
-def profile_of_sales(pos: DataFrame, cols: Sequence[str]) -> DataFrame:
+def profile_of_sales(
+    pos: DataFrame, cols: Sequence[str], hold: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """The defects that raw sales are known to hold."""
     defects = {"text_dates": F.col("business_date").rlike("[A-Za-z]"), "missing_net": F.col("net_sales").isNull()}
-    profile = defect_profile(pos, cols, defects, "store")
+    profile = defect_profile(pos, cols, defects, "store", hold)
     return profile.withColumn("copies", F.col("rows") - F.col("kinds"))
 
 

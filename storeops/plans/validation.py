@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,17 @@ class Expectations:
     labour_band: tuple[float, float] = (0.27, 0.34)
 
 
-def key_checks(core: Mapping[str, DataFrame], prices: DataFrame, targets: DataFrame) -> list[DataFrame]:
+Hold = Callable[[str, DataFrame], DataFrame]
+
+# Tables with a row per line or event, whose keys are compared by digest first.
+LONG_TABLES = ("sales", "shifts", "purchases")
+
+
+def as_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def key_checks(core: Mapping[str, DataFrame], prices: DataFrame, targets: DataFrame, hold: Hold = as_is) -> list[DataFrame]:
     keys = [
         ("dim_location", core["dim_location"], ["location_id"]),
         ("dim_date", core["dim_date"], ["calendar_date"]),
@@ -51,7 +62,10 @@ def key_checks(core: Mapping[str, DataFrame], prices: DataFrame, targets: DataFr
         ("targets", targets, ["year_month", "location_id"]),
         ("purchases", core["fact_purchases"], ["po_line_id"]),
     ]
-    return [c.unique_key(f"unique key: {name}", df, cols) for name, df, cols in keys]
+    return [
+        c.unique_key(f"unique key: {name}", df, cols, partial(hold, f"{name}_key_digests") if name in LONG_TABLES else None)
+        for name, df, cols in keys
+    ]
 
 
 def reference_checks(core: Mapping[str, DataFrame], prices: DataFrame, weather: DataFrame) -> list[DataFrame]:
@@ -232,10 +246,9 @@ def story_checks(
     ]
 
 
-def raw_checks(
-    raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], hold: Callable[[DataFrame], DataFrame]
-) -> list[DataFrame]:
-    profile = hold(c.profile_of_sales(raw["pos_sales"], list(EXTRACTS["pos_sales"])))
+def raw_checks(raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], hold: Hold) -> list[DataFrame]:
+    digests = partial(hold, "raw_sales_digests")
+    profile = hold("sales_profile", c.profile_of_sales(raw["pos_sales"], list(EXTRACTS["pos_sales"]), digests))
     clean = core["fact_sales_item_daypart"]
     kept = c.side_by_side(profile, F.max("kinds"), clean, F.count("*"))
     return [
@@ -256,20 +269,22 @@ def validation_suite(
     weather: DataFrame,
     targets: DataFrame,
     known: Expectations = Expectations(),
-    hold: Callable[[DataFrame], DataFrame] = lambda df: df,
+    hold: Hold = as_is,
 ) -> DataFrame:
     """All 74 checks, failures first.
 
     `prices` has week_start, ingredient_id, market_unit_cost; `weather` date, is_rainy_day; `targets`
-    year_month, location_id. Every table is read by several checks: pass written tables. `hold` writes the
-    profile of the raw sales, from which five checks are read.
+    year_month, location_id. Every table and the raw sales are read by several checks: pass written tables.
+    `hold` writes the profile of the raw sales, from which five checks are read, repeated digests, and the rows of
+    each kind of check, so that the shuffles of one kind are gone before the next begins.
     """
-    return c.report(
-        key_checks(core, prices, targets)
-        + reference_checks(core, prices, weather)
-        + sales_checks(core, known)
-        + labour_checks(core, known)
-        + inventory_checks(core, prices)
-        + story_checks(core, prices, weather, known)
-        + raw_checks(raw, core, hold)
-    )
+    kinds = {
+        "key": key_checks(core, prices, targets, hold),
+        "reference": reference_checks(core, prices, weather),
+        "sales": sales_checks(core, known),
+        "labour": labour_checks(core, known),
+        "inventory": inventory_checks(core, prices),
+        "story": story_checks(core, prices, weather, known),
+        "raw": raw_checks(raw, core, hold),
+    }
+    return c.report([hold(f"{kind}_checks", c.stacked(checks)) for kind, checks in kinds.items()])

@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from storeops.operators import clean, facts, foodcost, quality
-from storeops.plans import catalog
+from storeops.operators import checks, clean, facts, foodcost, quality
+from storeops.plans import catalog, catalog_checks, catalog_measures  # noqa: F401
 from storeops.plans.extracts import Extracts
+from storeops.schemas import EXTRACTS
 from storeops.sources import tables
 from storeops.sources.tables import CLEANUP, stage, staged_path
 
@@ -112,3 +113,35 @@ def test_weekly_sums_are_staged_and_not_the_sales(spark, tmp_path, name):
 def test_the_identity_check_deals_weekly_sales_once(spark):
     plan = physical(catalog.QUERIES["check_identity"](spark, "/root/testdata/sf0.001"))
     assert not any("hashpartitioning(week_start" in line and "menu_item_id" in line for line in plan.splitlines())
+
+
+def test_rows_are_compared_in_full_where_digests_repeat(frame):
+    """Nulls do not count in a digest, so the second and third row share one without being equal."""
+    rows = [("a", "b"), ("c", None), (None, "c"), ("d", "e"), ("d", "e"), (None, None)]
+    df, kept = frame("x string, y string", *rows), []
+
+    def hold(digests):
+        kept.append(digests.count())
+        return digests
+
+    assert checks.perhaps_equal(df, ["x", "y"], hold).count() == 4 and kept == [2]
+    by_digest = checks.unique_key("k", df, ["x", "y"], hold).collect()
+    assert by_digest == checks.unique_key("k", df, ["x", "y"]).collect() and by_digest[0].detail == "(1 repeated keys)"
+
+
+def test_profile_by_digest_is_the_profile_of_all_rows(frame):
+    none = [None] * 11
+    rows = [SALE, SALE, (*SALE[:1], None, *SALE[2:]), ("04-Mar-2025", *SALE[1:]), (*SALE[:10], None, 1), (*none, 1), (*none, 2)]
+    df, cols = frame(SALES, *rows), list(EXTRACTS["pos_sales"])
+    plain = checks.profile_of_sales(df, cols)
+    assert checks.profile_of_sales(df, cols, lambda digests: digests).select(plain.columns).collect() == plain.collect()
+    none_at_all = df.filter("false")
+    assert checks.profile_of_sales(none_at_all, cols, lambda d: d).select(plain.columns).collect() == (
+        checks.profile_of_sales(none_at_all, cols).collect()
+    )
+
+
+def test_the_suite_writes_each_kind_of_check(spark):
+    keys = staged_keys(spark, "/root/testdata/sf0.001", "validation_suite")
+    kinds = {f"{kind}_checks" for kind in ("key", "reference", "sales", "labour", "inventory", "story", "raw")}
+    assert kinds | {"pos_sales", "purchases_key_digests", "raw_sales_digests"} <= keys
